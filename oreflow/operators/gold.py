@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreflow.contracts import Field
 from oreflow.functions.hashing import row_hash
-from oreflow.functions.parsing import to_date
 from oreflow.operators.shape import drop_technical
 from oreflow.operators.upsert import upsert
 
@@ -90,9 +90,10 @@ def scd2_merge(
 def fact_orders(silver: DataFrame) -> DataFrame:
     """Order lines with a timestamp and the line total; a missing price gives a null total."""
     rows = drop_technical(silver)
+    day = Field("order_date", "date").parsed(rows.schema["order_date"].dataType)
     return rows.withColumns(
         {
-            "order_date": to_date(F.col("order_date").cast("string")).cast("timestamp"),
+            "order_date": day.cast("timestamp"),
             "total_amount": F.col("quantity") * F.col("unit_price"),
         }
     )

@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 from oreflow.functions.money import bad_pct, exact_mean, quality_pct
 from oreflow.functions.text import email_domain
 
-_ROWS = F.lit(1)
 
 
 def value_counts(df: DataFrame, value: str | Column, name: str, count: str = "rows") -> DataFrame:
     """Rows per value, most frequent first."""
     column = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(column.alias(name)).agg(F.count(_ROWS).alias(count)).orderBy(F.desc(count), name)
+    return df.groupBy(column.alias(name)).agg(F.count("*").alias(count)).orderBy(F.desc(count), name)
 
 
 def domain_counts(df: DataFrame, email: str = "email") -> DataFrame:
@@ -47,7 +46,7 @@ def price_changes(catalogue: DataFrame, updates: DataFrame, key: str, keep: Sequ
 
 def daily_counts(df: DataFrame, day: str, bad: Column, prefix: str) -> DataFrame:
     """Rows, bad rows and quality per day of one source."""
-    rows, bad_rows = F.count(_ROWS), F.count_if(bad)
+    rows, bad_rows = F.count("*"), F.count_if(bad)
     return df.groupBy(F.col(day).alias("date")).agg(
         rows.alias(prefix),
         bad_rows.alias(f"bad_{prefix}"),
@@ -97,7 +96,7 @@ def logged_templates(log: DataFrame) -> DataFrame:
     Events are counted per day and template first, so the list of a day is as long as the
     template catalogue however many events the day has.
     """
-    per_template = log.where(F.col("template_id").isNotNull()).groupBy("date", "template_id").agg(F.count(_ROWS).alias("n"))
+    per_template = log.where(F.col("template_id").isNotNull()).groupBy("date", "template_id").agg(F.count("*").alias("n"))
     listed = F.array_sort(F.collect_list("template_id"))
     return per_template.groupBy("date").agg(
         F.array_join(listed, ", ").alias("injections"), F.sum("n").alias("events")
@@ -122,13 +121,13 @@ def events_by_template(log: DataFrame) -> DataFrame:
 
 
 def events_by_day(log: DataFrame) -> DataFrame:
-    return log.groupBy("date").agg(F.count(_ROWS).alias("events")).orderBy("date")
+    return log.groupBy("date").agg(F.count("*").alias("events")).orderBy("date")
 
 
 def events_by_source(log: DataFrame) -> DataFrame:
     """One row: all fault events, those from templates and those replayed from Parquet."""
     return log.agg(
-        F.count(_ROWS).alias("events"),
+        F.count("*").alias("events"),
         F.count_if(F.col("source") == "template").alias("template_events"),
         F.count_if(F.col("source") == "parquet").alias("parquet_events"),
     )
@@ -137,4 +136,4 @@ def events_by_source(log: DataFrame) -> DataFrame:
 def run_outcome(runs: DataFrame) -> DataFrame:
     """Runs, failed runs and the exit code of a backfill."""
     failed = F.count_if(F.col("status") != "SUCCESS")
-    return runs.agg(F.count(_ROWS).alias("runs"), failed.alias("failed"), F.when(failed > 0, 1).otherwise(0).alias("exit_code"))
+    return runs.agg(F.count("*").alias("runs"), failed.alias("failed"), F.when(failed > 0, 1).otherwise(0).alias("exit_code"))

@@ -33,7 +33,7 @@ def bad_rows(df: DataFrame, contract: Contract, quarantined_at: str | None = Non
 def reason_counts(bad: DataFrame) -> DataFrame:
     """How often each single reason occurs, most frequent first."""
     reason = F.explode(F.split(REASON, "; ")).alias("reason")
-    return bad.select(reason).groupBy("reason").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "reason")
+    return bad.select(reason).groupBy("reason").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "reason")
 
 
 def exported_order_class(amount: str = "amount", status: str = "status", quantity: str = "quantity"):

@@ -103,7 +103,7 @@ class DailyRun:
     def _clean(self, bronze: DataFrame, contract: Contract, order: str, sink: Callable[[DataFrame], int]) -> Counts:
         """Bad rows to quarantine; of the good ones the last per key to silver."""
         bad = bad_rows(bronze, contract, self.at)
-        refused = replace_day(bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date")
+        refused = replace_day(bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date", keep_empty=False)
         good = good_rows(bronze, contract)
         if self.layout.normalize:
             good = contract.normalize(good)

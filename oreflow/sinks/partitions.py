@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from oreflow import fs
+
 
 def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """The frame with its row count taken along while it is written.
@@ -19,17 +21,20 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     lost executors make Spark run tasks again.
     """
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, F.count("*").alias("rows")), seen
+
 
+def replace_day(df: DataFrame, path: str, date: str, column: str = "date", keep_empty: bool = True) -> int:
+    """Make ``df`` the whole content of one day; returns the rows written.
 
-def replace_day(df: DataFrame, path: str, date: str, column: str = "date") -> int:
-    """Make ``df`` the whole content of one day; returns the rows written."""
+    A day without rows gets a file with no rows, or none with ``keep_empty=False``.
+    """
     rows, seen = counted(df)
     _overwrite(rows.withColumn(column, F.lit(date)), path, column)
     written = seen.get["rows"]
-    if written == 0:
-        empty = df.sparkSession.createDataFrame([], df.schema)
-        empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{column}={date}")
+    day = f"{path}/{column}={date}"
+    if written == 0 and (keep_empty or fs.exists(df.sparkSession, day)):
+        df.limit(0).write.mode("overwrite").parquet(day)
     return written
 
 

@@ -78,8 +78,7 @@ class History(Snapshot):
         rows.withColumn("_side", side).write.mode("overwrite").partitionBy("_side").parquet(f"{self.path}/v{version}")
         present = [s for s in ("open", "closed") if fs.exists(self.spark, f"{self.path}/v{version}/_side={s}")]
         if "open" not in present:
-            empty = self.spark.createDataFrame([], df.schema)
-            empty.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/v{version}/_side=open")
+            df.limit(0).write.mode("overwrite").parquet(f"{self.path}/v{version}/_side=open")
         closed = [f"v{version}/_side=closed"] if "closed" in present else []
         self._move({"version": version, "parts": [f"v{version}/_side=open"], "closed": [*state["closed"], *closed]})
         return seen.get["rows"]

@@ -49,7 +49,7 @@ def read_days(spark: SparkSession, base: str, days: Sequence[str], pattern: str
     rows = rows.select("*", F.regexp_extract(folder, folder_regex(pattern), 1).alias(DAY), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
     if max_rows:
         before = Window.partitionBy(DAY).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-        sizes = rows.groupBy(DAY, "_file").agg(F.count(F.lit(1)).alias("_n"))
+        sizes = rows.groupBy(DAY, "_file").agg(F.count("*").alias("_n"))
         starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
         starts = starts.where(F.col("_start") < max_rows)
         rows = rows.join(starts, "_file").where(F.col("_start") + F.col("_index") < max_rows).drop("_start")
