@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreflow.functions.hashing import chosen, draw, pick
@@ -162,19 +162,20 @@ def inject(
 
     The base row of an entry is taken from the same day. Per day only the ``most_per_day`` rows
     of smallest hash can be needed, ``most_per_day`` being at least the longest plan of a day,
-    so the rows are cut to that number before the shuffle and then met by rank: no pairing of
-    every row with every entry. A day with fewer rows than entries reuses its rows in turn, and a
-    day without rows gets none. Added rows have a new key unless the template repeats a row.
+    so the rows are cut to that number before the shuffle. Each of them then offers itself for
+    its own place in the plan and, on a day with fewer rows than entries, for every later place
+    in turn; rows and entries meet by (day, place) alone. A day without rows gets no fault.
+    Added rows have a new key unless the template repeats a row.
     """
     settings = settings or {}
     wanted = plan.where(F.col("type") == kind)
-    numbered = first_per_group(wanted, ["date"], [F.col("seq")], most_per_day, rank="_nth")
+    placed = first_per_group(wanted, ["date"], [F.col("seq")], most_per_day, rank="_place")
     hashed = rows.withColumn("_h", draw([F.col(key)], seed, 3))
     base = first_per_group(hashed, [day], [F.col("_h"), F.col(key)], most_per_day, rank="_nth")
-    sizes = base.groupBy(F.col(day).alias("date")).agg(F.max("_nth").alias("_size"))
-    placed = numbered.join(sizes, "date").withColumn("_nth", (F.col("_nth") - 1) % F.col("_size") + 1)
+    base = base.withColumn("_size", F.count("*").over(Window.partitionBy(day)).cast("int"))
+    base = base.withColumn("_place", F.explode(F.sequence(F.col("_nth"), F.lit(most_per_day), F.col("_size"))))
     base = base.withColumn("date", F.col(day)) if day != "date" else base
-    met = placed.join(base, ["date", "_nth"])
+    met = placed.join(base, ["date", "_place"])
 
     number = draw([F.col("date"), F.col("seq")], seed, 2)
     mine = [t for t in TEMPLATES.values() if t.kind == kind]

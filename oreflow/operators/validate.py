@@ -31,9 +31,14 @@ def bad_rows(df: DataFrame, contract: Contract, quarantined_at: str | None = Non
 
 
 def reason_counts(bad: DataFrame) -> DataFrame:
-    """How often each single reason occurs, most frequent first."""
-    reason = F.explode(F.split(REASON, "; ")).alias("reason")
-    return bad.select(reason).groupBy("reason").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "reason")
+    """How often each single reason occurs, most frequent first.
+
+    Rows are counted by their whole reason text first: there are only as many texts as there
+    are combinations of broken rules, and those few are what gets split.
+    """
+    combined = bad.groupBy(REASON).agg(F.count("*").alias("n"))
+    single = combined.select(F.explode(F.split(REASON, "; ")).alias("reason"), "n")
+    return single.groupBy("reason").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "reason")
 
 
 def exported_order_class(amount: str = "amount", status: str = "status", quantity: str = "quantity"):

@@ -52,7 +52,9 @@ def read_days(spark: SparkSession, base: str, days: Sequence[str], pattern: str
         sizes = rows.groupBy(DAY, "_file").agg(F.count("*").alias("_n"))
         starts = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
         starts = starts.where(F.col("_start") < max_rows)
-        rows = rows.join(starts, "_file").where(F.col("_start") + F.col("_index") < max_rows).drop("_start")
+        # No file gives more than max_rows, which leaves little for the join to move.
+        rows = rows.where(F.col("_index") < max_rows).join(starts, "_file")
+        rows = rows.where(F.col("_start") + F.col("_index") < max_rows).drop("_start")
     return rows.drop("_file", "_index")
 
 
