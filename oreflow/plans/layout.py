@@ -25,6 +25,8 @@ class Layout:
     amount_bounds: tuple[float, float] | None = None
     inclusive_mark: bool = False
     product_partitions: int = 1
+    customer_schema: str | None = None
+    customer_array: bool = True  # one JSON array per file, or else JSON lines
     keep_versions: int = 2
 
     def at(self, name: str, default: str) -> str:

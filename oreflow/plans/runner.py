@@ -53,7 +53,8 @@ class DailyRun:
         return {"ingested": replace_day(rows, f"{self.layout.bronze}/orders", self.date)}
 
     def ingest_customers(self) -> Counts:
-        rows = read_customers(self.spark, self.layout.landing_customers, self.at)
+        layout = self.layout
+        rows = read_customers(self.spark, layout.landing_customers, self.at, layout.customer_schema, layout.customer_array)
         return {"ingested": self._bronze("customers").write(rows)}
 
     def ingest_products(self) -> Counts:

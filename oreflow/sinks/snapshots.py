@@ -28,8 +28,10 @@ class Snapshot:
         return json.loads(text) if text else {"version": 0, "parts": [], "closed": []}
 
     def _load(self, parts: list[str]) -> DataFrame:
-        # The folders are named one by one, so their own names add no columns.
-        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/{p}" for p in parts])
+        # The folders are named one by one, so their own names add no columns. Folders of
+        # different ages may differ in columns; merging reads every footer, so not for one.
+        reader = self.spark.read.option("mergeSchema", len(parts) > 1)
+        return reader.parquet(*[f"{self.path}/{p}" for p in parts])
 
     def exists(self) -> bool:
         return bool(self._state()["version"])

@@ -43,10 +43,11 @@ def _first_existing(spark: SparkSession, paths: list[str], what: str) -> str:
 def read_orders(spark: SparkSession, landing: str, date: str, ingested_at: str) -> DataFrame:
     """One day's orders: ``orders_<date>.csv`` (file or folder of parts) or ``date=<date>/``.
 
-    Columns are taken by the header's names. Only the header is read before the job runs.
+    Columns are taken by the header's names. Only one header is read before the job runs; a part
+    file whose header differs from it fails the job instead of shifting its values.
     """
     path = _first_existing(spark, [f"{landing}/orders_{date}.csv", f"{landing}/date={date}"], "orders file")
-    raw = spark.read.option("header", True).option("escape", '"').csv(path)
+    raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
     require_columns(raw, ORDERS.columns, "orders")
     rows = _with_ordinal(raw)
     values = {c: blank_missing(F.col(f"`{c}`")) for c in raw.columns}
@@ -61,10 +62,10 @@ def read_customers(
 
     Columns are the union of the record keys, which takes one extra pass over the files to
     find; give ``schema`` to save it. A JSON array cannot be split, so a big export should come
-    as many files, or as JSON lines with ``multi_line=False``.
+    as many files, or as JSON lines with ``multi_line=False``. Text that is not JSON is an error.
     """
     path = _first_existing(spark, [f"{landing}/customers.json"], "customers file")
-    reader = spark.read.option("multiLine", multi_line).option("primitivesAsString", True)
+    reader = spark.read.options(multiLine=multi_line, primitivesAsString=True, mode="FAILFAST")
     raw = (reader.schema(schema) if schema is not None else reader).json(path)
     rows = flatten(_with_ordinal(raw), "address", ("city", "country"))
     rows = rows.select(*[c for c in rows.columns if not c.startswith("_")], ORDINAL, "_source_file")
