@@ -23,6 +23,7 @@ UNKNOWN_STATES = ("warped", "unknown", "in_transit_maybe", "??")
 ORGANIC_STATES = ("warped", "unknown", "??")
 INVALID_EMAILS = ("not-an-email", "missing@", "@nodomain")
 FUTURE_DAYS = 365
+PROMOTION_CODES = ("BLACKFRI", "SAVE10", "WELCOME", "SUMMER25", "")
 
 
 @dataclass(frozen=True)
@@ -46,8 +47,9 @@ def _set(column: str, value: object) -> Patch:
 
 
 def _future_signup(number: Column, settings: Mapping[str, object]) -> dict[str, Column]:
-    day = F.date_add(F.lit(settings["start_date"]).cast("date"), FUTURE_DAYS)
-    return {"signup_date": day.cast("string")}
+    """A year after the first day of the run, or after the day of the fault if that is not set."""
+    start = F.lit(settings["start_date"]) if "start_date" in settings else F.col("date")
+    return {"signup_date": F.date_add(start.cast("date"), FUTURE_DAYS).cast("string")}
 
 
 TEMPLATES = {
@@ -103,6 +105,14 @@ def corrupt_customers(df: DataFrame, key: Sequence[str], rate: float, seed: int
     )
 
 
+def widen_from(
+    df: DataFrame, key: Sequence[str], day: str, start: str, after: int, column: str = "promotion_code", values: Sequence[str] = PROMOTION_CODES, seed: int = 42
+) -> DataFrame:
+    """An optional column that rows carry from the ``after``-th day of the run on (counted from 0)."""
+    begun = F.datediff(F.col(day).cast("date"), F.lit(start).cast("date")) >= after
+    return df.withColumn(column, F.when(begun, pick(values, draw([F.col(k) for k in key], seed))))
+
+
 def _template_kind(template_id: Column) -> Column:
     return F.when(template_id.startswith("ORD_"), "order").otherwise("customer")
 
@@ -187,8 +197,6 @@ def inject(
     for template in mine:
         this = F.col("template_id") == template.template_id
         text = F.when(this, template.description).otherwise(text)
-        if template.template_id == "CUST_FUTURE_SIGNUP" and "start_date" not in settings:
-            continue
         for column, value in template.changes(number, settings).items():
             if column in rows.columns:
                 kept = changed.get(column, F.col(column))

@@ -54,11 +54,19 @@ def daily_counts(df: DataFrame, day: str, bad: Column, prefix: str) -> DataFrame
     )
 
 
-def daily_summary(left: DataFrame, right: DataFrame, names: Sequence[str], plan: DataFrame | None = None) -> DataFrame:
-    """Two sources' :func:`daily_counts` side by side, with the day's planned faults.
-
-    A day only one source has counts as zero rows of full quality in the other. The fault
-    list is bounded by the plan, which is configuration, not data.
+def daily_summary(
+    left: DataFrame,
+    right: DataFrame,
+    names: Sequence[str],
+    plan: DataFrame | None = None,
+    drift: DataFrame | None = None,
+    first_day: str | None = None,
+) -> DataFrame:
+    """Two sources' :func:`daily_counts` side by side.
+
+    Optionally with the day's planned faults, its :func:`drift_flag` and its number counted
+    from ``first_day``. A day only one source has counts as zero rows of full quality in the
+    other. The fault list is bounded by the plan, which is configuration, not data.
     """
     a, b = names
     joined = left.join(right, "date", "full_outer")
@@ -74,6 +82,10 @@ def daily_summary(left: DataFrame, right: DataFrame, names: Sequence[str], plan:
         joined = joined.join(planned_templates(plan), "date", "left").withColumn(
             "injections", F.coalesce("injections", F.lit(""))
         )
+    if drift is not None:
+        joined = joined.join(drift, "date", "left").withColumn("drift", F.coalesce("drift", F.lit(False)))
+    if first_day is not None:
+        joined = joined.withColumn("day", F.datediff(F.col("date").cast("date"), F.lit(first_day).cast("date")) + 1)
     return joined
 
 

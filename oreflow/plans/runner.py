@@ -102,13 +102,18 @@ class DailyRun:
         return self._clean(bronze.read(), contract, order, self._silver(name).write)
 
     def _clean(self, bronze: DataFrame, contract: Contract, order: str, sink: Callable[[DataFrame], int]) -> Counts:
-        """Bad rows to quarantine; of the good ones the last per key to silver."""
+        """Bad rows to quarantine; of the good ones the last per key to silver.
+
+        How many duplicates fell away follows from the other counts; counting bronze again
+        reads only the footers of its files.
+        """
         bad = bad_rows(bronze, contract, self.at)
         refused = replace_day(bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date", keep_empty=False)
         good = good_rows(bronze, contract)
         if self.layout.normalize:
             good = contract.normalize(good)
-        return {"quarantined": refused, "written": sink(keep_last(good, contract.key, [order]))}
+        written = sink(keep_last(good, contract.key, [order]))
+        return {"quarantined": refused, "deduped": bronze.count() - refused - written, "written": written}
 
     # gold
 

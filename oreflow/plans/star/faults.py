@@ -12,12 +12,14 @@ from oreflow.operators.faults import (
     FIXED_TEMPLATES,
     INVALID_EMAILS,
     ORGANIC_STATES,
+    PROMOTION_CODES,
     UNKNOWN_STATES,
     corrupt_customers,
     corrupt_orders,
     fault_plan,
     inject,
     plan_schedule,
+    widen_from,
 )
 from oreflow.plans.star.registry import (
     EXPORTED_ORDERS_SQL,
@@ -57,6 +59,16 @@ def fault_customers(spark, sf_dir):
     return rows.select("customer_id", "name", "email")
 
 
+@query(
+    f"""SELECT order_id, order_date, CASE WHEN order_date >= '1995-01-11' THEN {pick_sql(PROMOTION_CODES, draw_sql('order_id'))} END AS promotion_code
+        FROM ({EXPORTED_ORDERS_SQL})"""
+)
+def promotion_drift(spark, sf_dir):
+    """The optional column from the eleventh day on."""
+    orders = exported_orders(spark, sf_dir).select("order_id", "order_date")
+    return widen_from(orders, ["order_id"], "order_date", "1995-01-01", 10)
+
+
 _NUMBER = draw_sql("date || '|' || seq", 2)
 
 

@@ -35,13 +35,29 @@ FULL JOIN (SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date, count(*) AS
 """
 
 
-def _daily(spark, sf_dir, plan=None):
+FIRST_DAY = "1995-01-01"
+
+
+def _daily(spark, sf_dir, **more):
     """Day keys stay dates until after the aggregation: grouping by text costs more."""
     orders = table(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date"))
     lines = table(spark, sf_dir, "lineitem").withColumn("day", F.col("l_shipdate").cast("date"))
     a = reports.daily_counts(orders, "day", F.col("o_orderstatus") == "P", "orders")
     b = reports.daily_counts(lines, "day", F.col("l_returnflag") == "R", "lines")
-    return reports.daily_summary(a, b, _NAMES, plan).withColumn("date", F.col("date").cast("string"))
+    return reports.daily_summary(a, b, _NAMES, **more).withColumn("date", F.col("date").cast("string"))
+
+
+_DRIFT_SQL = """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, bool_or(o_orderpriority = '1-URGENT') AS drift
+FROM orders GROUP BY 1"""
+
+
+def _drift(spark, sf_dir):
+    """Days on which urgent orders carry the optional column."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderdate").cast("date").alias("day"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", "BLACKFRI").alias("promotion_code"),
+    )
+    return reports.drift_flag(orders, "day", "promotion_code")
 
 
 _DAYS_SQL = """SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date FROM (
@@ -57,13 +73,16 @@ def random_plan(spark, sf_dir):
 
 
 @query(
-    f"""SELECT d.*, coalesce(injections, '') AS injections FROM ({_DAILY_SQL}) d
+    f"""SELECT d.*, coalesce(injections, '') AS injections, coalesce(drift, FALSE) AS drift,
+               CAST(date_diff('day', DATE '{FIRST_DAY}', CAST(d.date AS DATE)) + 1 AS INTEGER) AS day
+        FROM ({_DAILY_SQL}) d
         LEFT JOIN (SELECT date, string_agg(template_id, ', ' ORDER BY seq) AS injections FROM ({PLAN_SQL}) GROUP BY date) p
-        ON d.date = p.date"""
+        ON d.date = p.date
+        LEFT JOIN ({_DRIFT_SQL}) f ON d.date = f.date"""
 )
 def daily_quality(spark, sf_dir):
     plan = random_plan(spark, sf_dir).withColumn("date", F.col("date").cast("date"))
-    return _daily(spark, sf_dir, plan)
+    return _daily(spark, sf_dir, plan=plan, drift=_drift(spark, sf_dir), first_day=FIRST_DAY)
 
 
 @query(
@@ -135,17 +154,9 @@ def daily_template_list(spark, sf_dir):
     return reports.logged_templates(log).withColumn("date", F.col("date").cast("string"))
 
 
-@query(
-    """SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, bool_or(o_orderpriority = '1-URGENT') AS drift
-       FROM orders GROUP BY 1"""
-)
+@query(_DRIFT_SQL)
 def daily_drift(spark, sf_dir):
-    """Days on which the optional column is present."""
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderdate").cast("date").alias("day"),
-        F.when(F.col("o_orderpriority") == "1-URGENT", "BLACKFRI").alias("promotion_code"),
-    )
-    return reports.drift_flag(orders, "day", "promotion_code").withColumn("date", F.col("date").cast("string"))
+    return _drift(spark, sf_dir).withColumn("date", F.col("date").cast("string"))
 
 
 _CLASS_SQL = f"""

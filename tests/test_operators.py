@@ -191,7 +191,9 @@ def test_daily_summary_fills_the_missing_side(spark):
     a = reports.daily_counts(spark.createDataFrame([("d1", True), ("d1", False), ("d1", False)], "day string, bad boolean"), "day", F.col("bad"), "orders")
     b = reports.daily_counts(spark.createDataFrame([("d2", False)], "day string, bad boolean"), "day", F.col("bad"), "customers")
     plan = spark.createDataFrame([("d1", 2, "B"), ("d1", 1, "C")], "date string, seq int, template_id string")
-    got = {r.date: r for r in reports.daily_summary(a, b, ("orders", "customers"), plan).collect()}
+    drift = spark.createDataFrame([("d1", True)], "date string, drift boolean")
+    got = {r.date: r for r in reports.daily_summary(a, b, ("orders", "customers"), plan, drift).collect()}
+    assert (got["d1"].drift, got["d2"].drift) == (True, False)
     assert (got["d1"].orders, got["d1"].bad_orders, got["d1"].orders_quality_pct, got["d1"].customers) == (3, 1, 66.7, 0)
     assert (got["d1"].injections, got["d2"].injections, got["d2"].orders_quality_pct) == ("C, B", "", 100.0)
     total = reports.totals(reports.daily_summary(a, b, ("orders", "customers")), ("orders", "customers")).first()

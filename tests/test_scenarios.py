@@ -51,7 +51,7 @@ def test_duplicates_collapse_and_last_wins(spark, project):
     silver = spark.read.parquet(f"{project.layout.silver}/orders/date={DATE}").collect()
     assert [r.quantity for r in silver] == [5]
     assert fact(spark, project).count() == 1
-    assert stage(result, "silver_orders")["counts"] == {"quarantined": 0, "written": 1}
+    assert stage(result, "silver_orders")["counts"] == {"quarantined": 0, "deduped": 1, "written": 1}
 
 
 def test_later_bad_duplicate_does_not_replace_good_row(spark, project):
