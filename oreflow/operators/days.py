@@ -8,6 +8,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger(__name__)
 
@@ -68,6 +69,21 @@ def all_days(left: DataFrame, right: DataFrame, column: str = "date") -> DataFra
     return left.select(column).union(right.select(column)).distinct()
 
 
+def on_day(df: DataFrame, column: str, day: str | None) -> DataFrame:
+    """Rows of one day, all rows for None.
+
+    A timestamp is compared with the bounds of the day, not cast to a date, so that the filter
+    reaches the file statistics.
+    """
+    if day is None:
+        return df
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        start = F.lit(day).cast("date")
+        return df.where((F.col(column) >= start.cast(kind)) & (F.col(column) < F.date_add(start, 1).cast(kind)))
+    return df.where(F.col(column) == F.lit(day).cast(kind))
+
+
 def select_days(available: Sequence[str], selection: str | Sequence[str], run_days: Sequence[str] = ()) -> list[str]:
     """Partition days to use: ``all``, ``match`` (inside the run) or an explicit list.
 

@@ -38,6 +38,12 @@ def backfill_range(spark, sf_dir):
     return _text(joined.withColumn("orders", F.coalesce("orders", F.lit(0).cast("long"))))
 
 
+@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-02-03'")
+def filter_by_date(spark, sf_dir):
+    day = days.on_day(table(spark, sf_dir, "orders"), "o_orderdate", "1998-02-03")
+    return day.select("o_orderkey", "o_custkey", "o_totalprice")
+
+
 @query(f"SELECT CAST(d AS VARCHAR) AS date FROM ({_SHIP_DAYS}) WHERE d IN ({_ORDER_DAYS})")
 def date_match(spark, sf_dir):
     orders, ships = _days(spark, sf_dir)

@@ -21,6 +21,7 @@ from oreflow.operators.faults import (
     plan_schedule,
     widen_from,
 )
+from oreflow.plans.quality import QualitySettings, quality_run
 from oreflow.plans.star.registry import (
     EXPORTED_ORDERS_SQL,
     draw_sql,
@@ -31,6 +32,7 @@ from oreflow.plans.star.registry import (
     table,
 )
 from oreflow.plans.star.reports import PLAN_SQL, random_plan
+from oreflow.session import shared_folder
 
 RATE = 0.05
 _HIT = f"{draw_sql('k')} % 10000 < 500"
@@ -164,3 +166,25 @@ def fault_plan_modes(spark, sf_dir):
     }
     named = [p.select(F.lit(mode).alias("mode"), "*") for mode, p in plans.items()]
     return reduce(lambda a, b: a.unionByName(b), named)
+
+
+_MIXED_SQL = f"""
+SELECT order_date AS date, order_id,
+       CASE WHEN {_HIT} AND {draw_sql('k', 1)} % 3 = 0 THEN '-' || amount ELSE amount END AS amount,
+       CASE WHEN {_HIT} AND {draw_sql('k', 1)} % 3 = 1 THEN 'warped' ELSE status END AS status,
+       CASE WHEN {_HIT} AND {draw_sql('k', 1)} % 3 = 2 THEN '0' ELSE quantity END AS quantity
+FROM (SELECT *, order_id AS k FROM ({EXPORTED_ORDERS_SQL}))
+"""
+
+
+@query(
+    f"""SELECT date, count(*) AS orders, count(*) FILTER (WHERE bad) AS bad_orders,
+               round((1 - count(*) FILTER (WHERE bad) / greatest(count(*), 1)) * 100, 1) AS orders_quality_pct
+        FROM (SELECT date, amount LIKE '-%' OR status = 'warped' OR quantity = '0' AS bad FROM ({_MIXED_SQL})) GROUP BY date"""
+)
+def quality_by_day(spark, sf_dir):
+    """A quality run over all orders without templates: its daily counts."""
+    settings = QualitySettings("1995-01-01", 1, mode=None, order_fault_rate=RATE)
+    run = quality_run(exported_orders(spark, sf_dir), exported_customers(spark, sf_dir), settings, shared_folder(spark, "quality"))
+    counts = run.summary().where("orders > 0")
+    return counts.select("date", "orders", "bad_orders", "orders_quality_pct")

@@ -26,7 +26,7 @@ ORDINAL = "_ord"
 def _with_ordinal(df: DataFrame) -> DataFrame:
     """Text columns plus the row's place in its file and the file's name."""
     place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )

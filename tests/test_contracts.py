@@ -47,6 +47,16 @@ CASES = [
     ("orders", "unit_price", "inf", None),
     ("orders", "unit_price", "1e2", None),
     ("orders", "unit_price", "0x10", "unit_price: not a number"),
+    ("orders", "unit_price", "2d\t", "unit_price: not a number"),
+    ("orders", "unit_price", "0x1p3", "unit_price: not a number"),
+    ("orders", "unit_price", "1f", "unit_price: not a number"),
+    ("orders", "unit_price", "5.", None),
+    ("orders", "unit_price", "", "unit_price: not a number"),
+    ("orders", "order_date", "2025-01-7 ", "order_date: not an ISO date"),
+    ("orders", "order_date", "2025-01-7T", "order_date: not an ISO date"),
+    ("orders", "order_date", "+202-01-07", "order_date: not an ISO date"),
+    ("orders", "order_date", "12025-1-07", "order_date: not an ISO date"),
+    ("orders", "order_date", " 202-01-07", "order_date: not an ISO date"),
     ("orders", "unit_price", "free", "unit_price: not a number"),
     ("orders", "status", "Shipped", None),
     ("orders", "status", "refunded", "status: not one of pending, shipped, delivered, cancelled, returned"),
