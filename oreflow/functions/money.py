@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 
 def exact_sum(amount: Column) -> Column:
-    """Sum of a money column, through decimals; a double at the end."""
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    """Sum of a money column, through decimals; a double at the end.
+
+    Infinite and undefined amounts, which a price may hold, have no decimal and are left out.
+    """
+    return F.sum(amount.try_cast("decimal(18,2)")).cast("double")
 
 
 def exact_mean(amount: Column, digits: int = 2) -> Column:

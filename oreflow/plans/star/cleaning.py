@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from oreflow.contracts import CUSTOMERS, EXPORT_ORDERS, ORDERS, Contract, Field, Rule, at_least_zero, one_of
+from oreflow.contracts import CUSTOMERS, EXPORT_CUSTOMERS, EXPORT_ORDERS, ORDERS, Contract, Field, Rule, at_least_zero, one_of
 from oreflow.functions.hashing import row_hash
+from oreflow.functions.money import exact_sum
 from oreflow.functions.text import folder_date
 from oreflow.operators.dedup import keep_last
 from oreflow.operators.drift import require_columns, widen
+from oreflow.operators.gold import fact_orders
 from oreflow.operators.shape import conform, drop_technical, flatten, nested_to_json, rename, stamp_date, with_lineage
 from oreflow.operators.validate import (
     bad_rows,
@@ -245,13 +247,11 @@ def fact_total(spark, sf_dir):
         FROM ({ORDER_LINES_SQL}) WHERE status <> 'refunded' AND newest = 1 GROUP BY status"""
 )
 def fact_by_status(spark, sf_dir):
-    total = F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double")
-    return _fact(spark, sf_dir).groupBy("status").agg(F.count("*").alias("orders"), total.alias("total_amount"))
+    total = exact_sum(F.col("total_amount")).alias("total_amount")
+    return _fact(spark, sf_dir).groupBy("status").agg(F.count("*").alias("orders"), total)
 
 
 def _fact(spark, sf_dir):
-    from oreflow.operators.gold import fact_orders
-
     return fact_orders(keep_last(good_rows(order_lines(spark, sf_dir), ORDERS), ORDERS.key, ["_ord"]))
 
 
@@ -300,8 +300,6 @@ def export_shape(spark, sf_dir):
 )
 def nested_customers(spark, sf_dir):
     """Nested customer columns to JSON text and back through the replay conversion."""
-    from oreflow.contracts import EXPORT_CUSTOMERS
-
     text = nested_to_json(exported_customers(spark, sf_dir))
     shaped = conform(text, EXPORT_CUSTOMERS.columns, EXPORT_CUSTOMERS.nested)
     return nested_to_json(shaped).select("customer_id", "name", "address", "phones")

@@ -11,10 +11,15 @@ from oreflow.plans.star.registry import query, table
 from oreflow.sources.table import newer_than, next_mark
 
 MARK = "2024-01-15 00:00:00"
-_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _AT = "2024-06-01T00:00:00"
 
 
+def _micros(column):
+    """Timestamp as text with all six digits; a cast alone drops trailing zeros."""
+    text = F.col(column).cast("string")
+    return F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
+
+
 @query(
     f"""SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type, value
         FROM events WHERE ts > TIMESTAMP '{MARK}'"""
@@ -22,12 +27,12 @@ _AT = "2024-06-01T00:00:00"
 def incremental_since(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     newer = newer_than(events, "ts", F.lit(MARK).cast(events.schema["ts"].dataType))
-    return newer.select("event_id", F.date_format("ts", _MICROS).alias("ts"), "event_type", "value")
+    return newer.select("event_id", _micros("ts").alias("ts"), "event_type", "value")
 
 
 @query("SELECT strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS mark FROM events")
 def watermark_next(spark, sf_dir):
-    return next_mark(table(spark, sf_dir, "events"), "ts").select(F.date_format("mark", _MICROS).alias("mark"))
+    return next_mark(table(spark, sf_dir, "events"), "ts").select(_micros("mark").alias("mark"))
 
 
 def _catalogue(spark, sf_dir):
@@ -89,7 +94,7 @@ def upsert_latest(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice")
     latest = keep_last(lines, ["l_partkey"], ["l_shipdate", "l_orderkey", "l_linenumber", "l_extendedprice"])
     rows = latest.select(F.col("l_partkey").alias("p_partkey"), F.col("l_extendedprice").alias("price"))
-    return upsert(parts, rows, ["p_partkey"])
+    return upsert(parts, rows, ["p_partkey"], stored=False)
 
 
 TRACKED = ("c_nationkey", "c_mktsegment")

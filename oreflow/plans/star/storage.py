@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from oreflow import fs
 from oreflow.contracts import EXPORT_CUSTOMERS
 from oreflow.functions.money import exact_sum
 from oreflow.operators.gold import scd2_merge, scd2_open
@@ -25,7 +26,7 @@ from oreflow.sources.days import DAY, available_days, read_days, replay_rows
 def partition_replace(spark, sf_dir):
     """Orders by month; the first month is written again with other prices, the rest stays."""
     path = shared_folder(spark, "orders-by-month")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-01").alias("date"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", F.trunc(F.col("o_orderdate").cast("date"), "month").cast("string").alias("date"))
     replace_days(orders, path)
     first = available_days(spark, path, "date={date}")[0]
     redone = orders.where(F.col("date") == first).withColumn("o_totalprice", F.lit(0.0))
@@ -80,8 +81,8 @@ def export_orders_csv(spark, sf_dir):
     urgent = (F.col("product_id") == "1") & (F.col("month") >= "1998")
     write_orders_csv(orders.withColumn("promotion_code", F.when(urgent, "SAVE10")), path, day="month")
     narrow, wide = [], []
-    for name in available_months(spark, path):
-        (wide if name >= "1998" else narrow).append(f"{path}/date={name}")
+    for folder in fs.folders(spark, path):
+        (wide if folder >= "date=1998" else narrow).append(f"{path}/{folder}")
     read = spark.read.option("header", True).option("escape", '"')
     parts = [read.csv(group) for group in (narrow, wide) if group]
     rows = parts[0]
@@ -93,12 +94,6 @@ def export_orders_csv(spark, sf_dir):
     )
 
 
-def available_months(spark, path):
-    from oreflow import fs
-
-    return [n.removeprefix("date=") for n in fs.folders(spark, path) if n.startswith("date=")]
-
-
 @query(
     """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, c_mktsegment AS city, '+1-' || c_nationkey AS phone
        FROM customer"""

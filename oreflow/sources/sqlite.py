@@ -88,8 +88,9 @@ class SqliteReader(DataSourceReader):
 def _open(path: str):
     import sqlite3
     from contextlib import closing
+    from urllib.parse import quote
 
-    return closing(sqlite3.connect(f"file:{path.removeprefix('file:')}?mode=ro", uri=True))
+    return closing(sqlite3.connect(f"file:{quote(path.removeprefix('file:'))}?mode=ro", uri=True))
 
 
 def _quoted(name: str) -> str:

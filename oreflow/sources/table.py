@@ -7,10 +7,11 @@ the source's own query, so rows before it never leave the database.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreflow import fs
 from oreflow.contracts import PRODUCTS
 from oreflow.errors import IngestionError
 from oreflow.operators.drift import require_columns
@@ -23,7 +24,8 @@ def read_sqlite(
     spark: SparkSession, path: str, table: str, cursor: str | None = None, since: str | None = None, inclusive: bool = False, partitions: int = 1
 ) -> DataFrame:
     """Rows of a SQLite table, past ``since`` when given."""
-    if not fs.exists(spark, path):
+    # A mounted file, whatever Spark's default file system is.
+    if not os.path.exists(path.removeprefix("file:")):
         raise IngestionError(f"database not found: {path}")
     spark.dataSource.register(SqliteTable)
     reader = spark.read.format("sqlite_table").options(path=path, table=table, partitions=str(partitions))

@@ -66,7 +66,10 @@ def test_first_per_group(spark):
 def test_upsert_and_insert(spark):
     target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "B", True), (3, "c", True)], "k int, v string, extra boolean")
-    assert rows(upsert(target, new, ["k"]), "k", "v") == [(1, "a"), (2, "B"), (3, "c")]
+    for stored in (True, False):
+        merged = upsert(target, new, ["k"], stored)
+        assert merged.columns == ["k", "v", "extra"]
+        assert rows(merged, "k", "v", "extra") == [(1, "a", None), (2, "B", True), (3, "c", True)]
     assert rows(insert_if_absent(target, new, ["k"]), "k", "v") == [(1, "a"), (2, "b"), (3, "c")]
 
 
