@@ -38,10 +38,10 @@ def backfill_range(spark, sf_dir):
     return _text(joined.withColumn("orders", F.coalesce("orders", F.lit(0).cast("long"))))
 
 
-@query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-02-03'")
+@query("SELECT event_id, user_id, event_type, value FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10'")
 def filter_by_date(spark, sf_dir):
-    day = days.on_day(table(spark, sf_dir, "orders"), "o_orderdate", "1998-02-03")
-    return day.select("o_orderkey", "o_custkey", "o_totalprice")
+    day = days.on_day(table(spark, sf_dir, "events"), "ts", "2024-01-10")
+    return day.select("event_id", "user_id", "event_type", "value")
 
 
 @query(f"SELECT CAST(d AS VARCHAR) AS date FROM ({_SHIP_DAYS}) WHERE d IN ({_ORDER_DAYS})")
