@@ -188,6 +188,7 @@ class ExportShape:
     nested: Mapping[str, str] = field(default_factory=dict)
 
 
+# Columns of the exports.
 EXPORT_ORDERS = ExportShape(
     "orders",
     ("order_id", "customer_id", "product_id", "order_date", "amount", "currency", "status", "quantity"),

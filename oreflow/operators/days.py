@@ -15,8 +15,8 @@ log = logging.getLogger(__name__)
 
 def backfill_days(target: str, days_before: int) -> list[str]:
     """The target day and the days before it, oldest first."""
-    last = dt.date.fromisoformat(target)
-    return [(last - dt.timedelta(days=n)).isoformat() for n in range(days_before, -1, -1)]
+    first = dt.date.fromisoformat(target) - dt.timedelta(days=days_before)
+    return [(first + dt.timedelta(days=n)).isoformat() for n in range(days_before + 1)]
 
 
 def day_range(spark: SparkSession, start: str, days: int) -> DataFrame:

@@ -52,6 +52,7 @@ def _future_signup(number: Column, settings: Mapping[str, object]) -> dict[str,
     return {"signup_date": F.date_add(start.cast("date"), FUTURE_DAYS).cast("string")}
 
 
+# Template ids and descriptions.
 TEMPLATES = {
     t.template_id: t
     for t in (

@@ -228,12 +228,11 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     results = backfill(get_session(), Layout(args.root), args.date, args.backfill, args.effective_date)
+    failed = [r for r in results if r["status"] != "SUCCESS"]
     for r in results:
-        if r["status"] == "SUCCESS":
-            print(f"[OK]   {r['date']}: {r['duration_sec']:.2f}s")
-        else:
-            print(f"[FAIL] {r['date']}: {r['error']}", file=sys.stderr)
-    return int(any(r["status"] != "SUCCESS" for r in results))
+        line = f"{r['date']} {r['status']} {r['duration_sec']:.2f} s"
+        print(line if r not in failed else f"{line}: {r['error']}", file=sys.stderr if r in failed else sys.stdout)
+    return 1 if failed else 0
 
 
 if __name__ == "__main__":

@@ -46,7 +46,12 @@ def read_days(spark: SparkSession, base: str, days: Sequence[str], pattern: str
     reader = reader.option("recursiveFileLookup", True)
     rows = reader.parquet(*[f"{base}/{pattern.replace('{date}', d)}" for d in days])
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    rows = rows.select("*", F.regexp_extract(folder, folder_regex(pattern), 1).alias(DAY), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_index"))
+    rows = rows.select(
+        "*",
+        F.regexp_extract(folder, folder_regex(pattern), 1).alias(DAY),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_index"),
+    )
     if max_rows:
         before = Window.partitionBy(DAY).orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
         sizes = rows.groupBy(DAY, "_file").agg(F.count("*").alias("_n"))

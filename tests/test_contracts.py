@@ -9,12 +9,12 @@ import pytest
 from oreflow.contracts import CUSTOMERS, ORDERS, PRODUCTS
 from oreflow.operators.validate import bad_rows, good_rows
 
-ORDER = dict(order_id="O1", customer_id="C1", product_id="P1", order_date="2025-01-01", quantity="2", unit_price="9.99", status="shipped")
+ORDER = dict(order_id="O1", customer_id="C1", product_id="P1", order_date="2025-01-01", quantity="2", unit_price="3.25", status="shipped")
 CUSTOMER = dict(
-    customer_id="C1", first_name="Alice", last_name="Smith", email="alice@example.com",
-    city="NYC", country="US", signup_date="2024-01-01", tier="gold",
+    customer_id="C1", first_name="Maya", last_name="Lind", email="maya@mail.test",
+    city="Oslo", country="NO", signup_date="2024-01-01", tier="gold",
 )
-PRODUCT = dict(product_id="P1", name="Widget", category="Tools", unit_cost="10.0", supplier_id="S", updated_at="2025-01-01T00:00:00")
+PRODUCT = dict(product_id="P1", name="Lamp", category="Tools", unit_cost="10.0", supplier_id="S", updated_at="2025-01-01T00:00:00")
 BASE = {"orders": (ORDERS, ORDER), "customers": (CUSTOMERS, CUSTOMER), "products": (PRODUCTS, PRODUCT)}
 
 # contract, changed column, value, expected reason (None: the row is good)
@@ -62,7 +62,7 @@ CASES = [
     ("orders", "status", "refunded", "status: not one of pending, shipped, delivered, cancelled, returned"),
     ("orders", "status", None, "status: missing"),
     ("customers", None, None, None),
-    ("customers", "email", "Alice@Example.COM", None),
+    ("customers", "email", "Maya@Mail.TEST", None),
     ("customers", "email", "not-an-email", "email: has no @"),
     ("customers", "email", None, "email: missing"),
     ("customers", "city", "", None),
@@ -100,16 +100,16 @@ def test_case(outcome, number):
 def test_good_rows_are_typed_but_not_normalised(spark):
     df = spark.createDataFrame([ORDER | {"status": "Shipped", "quantity": "9007199254740993", "extra": "x"}])
     row = good_rows(df, ORDERS).first()
-    assert (row.quantity, row.unit_price, row.order_date, row.status, row.extra) == (9007199254740993, 9.99, "2025-01-01", "Shipped", "x")
+    assert (row.quantity, row.unit_price, row.order_date, row.status, row.extra) == (9007199254740993, 3.25, "2025-01-01", "Shipped", "x")
 
 
 def test_normalised_values(spark):
     orders = spark.createDataFrame([ORDER | {"status": "Shipped"}])
     assert ORDERS.normalize(orders).first().status == "shipped"
     schema = ", ".join(f"{k} string" for k in CUSTOMER)
-    customers = spark.createDataFrame([CUSTOMER | {"email": "Alice@Example.COM", "tier": None}], schema)
+    customers = spark.createDataFrame([CUSTOMER | {"email": "Maya@Mail.TEST", "tier": None}], schema)
     row = CUSTOMERS.normalize(customers).first()
-    assert (row.email, row.tier) == ("alice@example.com", "standard")
+    assert (row.email, row.tier) == ("maya@mail.test", "standard")
 
 
 def test_typed_input_needs_no_text(spark):
