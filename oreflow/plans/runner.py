@@ -86,22 +86,22 @@ class DailyRun:
             contract = ORDERS.with_amount_bounds(*self.layout.amount_bounds, lambda v: v["quantity"] * v["unit_price"])
         bronze = self.spark.read.parquet(path)
         return self._clean(
-            bronze, contract, ORDINAL, lambda good: replace_day(good, f"{self.layout.silver}/orders", self.date)
+            bronze, contract, [ORDINAL], lambda good: replace_day(good, f"{self.layout.silver}/orders", self.date)
         )
 
     def silver_customers(self) -> Counts:
-        return self._silver_snapshot("customers", CUSTOMERS, ORDINAL)
+        return self._silver_snapshot("customers", CUSTOMERS, [ORDINAL])
 
     def silver_products(self) -> Counts:
-        return self._silver_snapshot("products", PRODUCTS, "updated_at")
+        return self._silver_snapshot("products", PRODUCTS, ["updated_at", ORDINAL])
 
-    def _silver_snapshot(self, name: str, contract: Contract, order: str) -> Counts:
+    def _silver_snapshot(self, name: str, contract: Contract, order: list[str]) -> Counts:
         bronze = self._bronze(name)
         if not bronze.exists():
             return {}
         return self._clean(bronze.read(), contract, order, self._silver(name).write)
 
-    def _clean(self, bronze: DataFrame, contract: Contract, order: str, sink: Callable[[DataFrame], int]) -> Counts:
+    def _clean(self, bronze: DataFrame, contract: Contract, order: list[str], sink: Callable[[DataFrame], int]) -> Counts:
         """Bad rows to quarantine; of the good ones the last per key to silver.
 
         How many duplicates fell away follows from the other counts; counting bronze again
@@ -112,7 +112,7 @@ class DailyRun:
         good = good_rows(bronze, contract)
         if self.layout.normalize:
             good = contract.normalize(good)
-        written = sink(keep_last(good, contract.key, [order]))
+        written = sink(keep_last(good, contract.key, order))
         return {"quarantined": refused, "deduped": bronze.count() - refused - written, "written": written}
 
     # gold

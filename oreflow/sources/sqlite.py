@@ -68,10 +68,11 @@ class SqliteReader(DataSourceReader):
     def read(self, partition: RowRange) -> Iterator:
         import pyarrow as pa
 
-        tests, values = [], []
+        tests, values, order = [], [], ""
         if partition.low is not None:
             tests.append("rowid BETWEEN ? AND ?")
             values += [partition.low, partition.high]
+            order = " ORDER BY rowid"
         if "since" in self.options:
             sign = ">=" if self.options.get("inclusive", "false").lower() == "true" else ">"
             tests.append(f"{_quoted(self.options['cursor'])} {sign} ?")
@@ -79,7 +80,7 @@ class SqliteReader(DataSourceReader):
         where = f" WHERE {' AND '.join(tests)}" if tests else ""
         columns = ", ".join(_quoted(n) for n in self.names)
         with _open(self.options["path"]) as link:
-            found = link.execute(f"SELECT {columns} FROM {_quoted(self.options['table'])}{where}", values)
+            found = link.execute(f"SELECT {columns} FROM {_quoted(self.options['table'])}{where}{order}", values)
             while rows := found.fetchmany(_BATCH):
                 arrays = [pa.array([_text(v) for v in column], pa.string()) for column in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=self.names)

@@ -16,6 +16,7 @@ from oreflow.contracts import PRODUCTS
 from oreflow.errors import IngestionError
 from oreflow.operators.drift import require_columns
 from oreflow.operators.shape import with_lineage
+from oreflow.sources.landing import ORDINAL
 from oreflow.sources.sqlite import SqliteTable
 
 FIRST_MARK = "1970-01-01T00:00:00"
@@ -58,7 +59,10 @@ def next_mark(df: DataFrame, cursor: str) -> DataFrame:
 
 
 def read_products(spark: SparkSession, path: str, since: str | None, ingested_at: str, inclusive: bool = False, partitions: int = 1) -> DataFrame:
-    """Products changed since the mark, with lineage."""
+    """Products changed since the mark, with lineage and their place in the table.
+
+    The place decides between two changes of a product at the same time.
+    """
     rows = read_sqlite(spark, path, "products", "updated_at", since or FIRST_MARK, inclusive, partitions)
     require_columns(rows, PRODUCTS.columns, "products")
-    return with_lineage(rows, ingested_at)
+    return with_lineage(rows.withColumn(ORDINAL, F.monotonically_increasing_id()), ingested_at)

@@ -15,7 +15,7 @@ from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sinks.partitions import replace_day, replace_days
 from oreflow.sources.days import available_days, read_days, replay, replay_rows
 from oreflow.sources.landing import ORDINAL, read_customers, read_orders
-from oreflow.sources.table import newer_than, read_sqlite
+from oreflow.sources.table import newer_than, read_products, read_sqlite
 
 HEADER = "order_id,customer_id,product_id,order_date,quantity,unit_price,status\n"
 
@@ -104,6 +104,20 @@ def test_sqlite_ranges_mark_and_stray_values(spark, tmp_path):
         read_sqlite(spark, str(tmp_path / "no.db"), "t")
 
 
+def test_later_row_wins_among_equal_times(spark, tmp_path):
+    link = sqlite3.connect(tmp_path / "p.db")
+    columns = ("product_id", "name", "category", "unit_cost", "supplier_id", "updated_at")
+    link.execute(f"CREATE TABLE products ({', '.join(f'{c} TEXT' for c in columns)})")
+    link.execute("CREATE INDEX by_time ON products (updated_at)")
+    rows = [(f"P{n % 3}", "n", "c", str(n), "S", "2025-01-02" if n < 90 else "2025-01-01") for n in range(100)]
+    link.executemany("INSERT INTO products VALUES (?,?,?,?,?,?)", rows)
+    link.commit()
+    link.close()
+    df = read_products(spark, str(tmp_path / "p.db"), None, "now", partitions=5)
+    last = keep_last(df, ["product_id"], ["updated_at", ORDINAL])
+    assert sorted(int(r.unit_cost) for r in last.collect()) == [87, 88, 89]
+
+
 def test_mark_is_strict_unless_inclusive(spark):
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "u string")
     assert (newer_than(df, "u", "b").count(), newer_than(df, "u", "b", inclusive=True).count()) == (1, 2)
