@@ -31,3 +31,14 @@ def test_query_equals_sql(spark, link, name):
 
 def test_entry(spark):
     assert spark_entry.entry(spark).columns == ["status", "orders", "total_amount"]
+
+
+WRITING = {"partition_replace", "replay_files", "replay_limit", "export_orders_csv", "export_customers_json", "scd2_stored", "quality_by_day"}
+
+
+@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - WRITING))
+def test_plan_has_no_pairing_and_no_python(spark, name):
+    """No cross or nested-loop join and no Python node."""
+    plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "BatchEvalPython"):
+        assert unwanted not in plan
