@@ -12,6 +12,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 import __spark_entry__ as spark_entry
 from compare import compare, connect
 
+from oreflow.plans.star import REGISTRY
+
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables are not here")
 
@@ -21,7 +23,7 @@ def link():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_equals_sql(spark, link, name):
     run, sql = spark_entry.queries()[name], spark_entry.oracle_sql()[name]
     problem, _, rows = compare(spark, link, name, run, sql, SF_DIR)
@@ -36,7 +38,7 @@ def test_entry(spark):
 WRITING = {"partition_replace", "replay_files", "replay_limit", "export_orders_csv", "export_customers_json", "scd2_stored", "quality_by_day"}
 
 
-@pytest.mark.parametrize("name", sorted(set(spark_entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITING))
 def test_plan_has_no_pairing_and_no_python(spark, name):
     """No cross or nested-loop join and no Python node."""
     plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
