@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from oreflow.llm.decontam import contamination
 from oreflow.llm.exact import exact_duplicates
+from oreflow.llm.packing import pack
+from oreflow.llm.simhash import near_duplicates
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -38,3 +42,42 @@ LOWER_SQL = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqr
 )
 def op7_exact_dedup(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op9_simhash(spark, sf_dir):
+    found = near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+# Words, and windows of each length an item has, joined by spaces.
+OP2_SQL = rf"""
+WITH items AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWER_SQL.format(text="text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT item, least(10, len(w)) AS k, array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS phrase
+    FROM items, LATERAL (SELECT unnest(range(1, greatest(1, len(w) - 9) + 1)) AS s) WHERE len(w) > 0),
+docs AS (
+    SELECT doc_id, coalesce(regexp_extract_all({LOWER_SQL.format(text="text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+places AS (
+    SELECT doc_id, s, k, array_to_string(w[s:s + k - 1], ' ') AS phrase
+    FROM docs, (SELECT DISTINCT k FROM windows), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS s)),
+hits AS (SELECT doc_id, s, k, item FROM places JOIN windows USING (k, phrase)),
+hit_words AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS i FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query(OP2_SQL)
+def op2_decontamination(spark, sf_dir):
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row_key")
+
+
+@query()
+def op4_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
