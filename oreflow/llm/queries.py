@@ -6,11 +6,17 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from oreflow.llm.common import held_out
 from oreflow.llm.decontam import contamination
 from oreflow.llm.exact import exact_duplicates
+from oreflow.llm.langid import identify
+from oreflow.llm.lm import score_documents
 from oreflow.llm.packing import pack
 from oreflow.llm.simhash import near_duplicates
+from oreflow.llm.toxicity import toxicity
+from oreflow.llm.warc import archive
 
 Run = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Run] = {}
@@ -81,3 +87,32 @@ def op2_decontamination(spark, sf_dir):
 @query()
 def op4_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+            f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest, n) END AS first FROM p)
+       SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+              CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+              CASE WHEN first <> page_id THEN first END AS refers_to
+       FROM f"""
+)
+def op5_warc(spark, sf_dir):
+    return archive(table(spark, sf_dir, "pages")).drop("url", "payload")
+
+
+@query()
+def op8_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out(F.col("doc_id"), 5, 0))
+
+
+@query()
+def op10_language_id(spark, sf_dir):
+    held = held_out(F.col("doc_id"), 4, 2)
+    return identify(table(spark, sf_dir, "documents"), ~held, held)
+
+
+@query()
+def op6_lm_scoring(spark, sf_dir):
+    held, fold = held_out(F.col("doc_id"), 7, 2), held_out(F.col("doc_id"), 7, 3)
+    return score_documents(table(spark, sf_dir, "documents"), held, fold)
