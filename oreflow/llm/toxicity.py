@@ -1,8 +1,8 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored.
 
 A document is toxic when at least one sentence is: with p a sentence's probability, the document's is
-1 - product of (1 - p), the noisy-or. A sentence's p is logistic in the sum of its words' weights,
-and a word's weight is the sum over hashed features: the word and its first letters. The likelihood
+1 - product of (1 - p), the noisy-or. A sentence's p is logistic in the sum of its distinct
+words' weights, and a word's weight is the sum over hashed features: the word and its first letters. The likelihood
 of the document labels trains the weights; sentences with high p are then the offending ones.
 
 Training takes a sample of labelled documents of a documented size (``train_docs``, ``train_chars``).
@@ -11,6 +11,7 @@ Scoring takes every sentence of every document.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,9 +24,11 @@ TRAIN_DOCS = 8_000
 #: A labelled document longer than this isn't learned from.
 TRAIN_CHARS = 100_000
 FEATURE_BITS = 20
-PREFIXES = (4, 5, 6)
+PREFIXES = (3, 4, 5, 6)
 #: A sentence without an end in sight is cut after so many words.
 SENTENCE_WORDS = 64
+#: A feature is learned if so many training documents have it, and one in so many.
+LEAST_DOCS, LEAST_SHARE = 5, 400
 STEPS, RATE, DECAY = 80, 0.15, 2e-3
 START = -7.0
 #: Words one Python task remembers; beyond it starts anew.
@@ -43,7 +46,7 @@ def tokens(text: str) -> list[bytes]:
 
 
 def features(word: bytes) -> list[int]:
-    """Hashed features: the word, and its first 4, 5 and 6 letters as far as it has more."""
+    """Hashed features: the word, and its first 3 to 6 letters as far as it has more."""
     letters = word.decode("utf-8", "replace")
     parts = [b"w" + word] + [b"p" + letters[:n].encode() for n in PREFIXES if len(letters) > n]
     return [xxhash.xxh64_intdigest(p) >> 64 - FEATURE_BITS for p in parts]
@@ -58,30 +61,52 @@ def sentence_starts(stop: np.ndarray) -> np.ndarray:
     return np.flatnonzero(~stop & ((np.arange(len(stop)) - begun) % SENTENCE_WORDS == 0))
 
 
+def instances(ids: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sentences as sets of words: (where each begins, sentence and word of each member, the distinct sentences).
+
+    A word counts once in a sentence and a sentence once in a document, so repetition proves nothing.
+    """
+    starts = sentence_starts(stop)
+    if not len(starts):
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, none
+    sentence = np.searchsorted(starts, np.arange(len(ids)), side="right") - 1
+    live = ~stop
+    members = np.unique(sentence[live] << 32 | ids[live])
+    sentence, word = members >> 32, members & 0xFFFFFFFF
+    mixed = (word.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    mixed = (mixed ^ mixed >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    first = np.flatnonzero(np.concatenate(([True], sentence[1:] != sentence[:-1])))
+    return starts, sentence, word, np.sort(np.unique(np.add.reduceat(mixed, first), return_index=True)[1])
+
+
 class _Weights(dict):
+    """Word to its number; ``values`` has the numbers' weights. Number 0 is STOP."""
+
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights = weights
-        self[STOP] = np.nan
+        self.weights, self.values = weights, array("d", [0.0])
+        self[STOP] = 0
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self.values)
+        self.values.append(float(self.weights[features(word)].sum()))
+        return number
 
-    def __missing__(self, word: bytes) -> float:
+    def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self) >= REMEMBERED:
             self.clear()
-            self[STOP] = np.nan
-        self[word] = value = float(self.weights[features(word)].sum())
-        return value
+            self.values, self[STOP] = array("d", [0.0]), 0
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 
-def sentence_scores(text: str, weights: _Weights, bias: float) -> tuple[np.ndarray, list[bytes], np.ndarray]:
-    """(logit of each sentence, the tokens, where each sentence begins)."""
+def sentence_scores(text: str, weights: _Weights, bias: float) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """(logit of each sentence, the tokens, where each sentence begins, the distinct sentences)."""
     words = tokens(text)
-    values = np.fromiter(map(weights.__getitem__, words), dtype=np.float64, count=len(words))
-    stop = np.isnan(values)
-    starts = sentence_starts(stop)
-    if not len(starts):
-        return np.zeros(0), words, starts
-    values[stop] = 0
-    return bias + np.add.reduceat(values, starts), words, starts
+    ids = weights.numbers(words)
+    starts, sentence, word, distinct = instances(ids, ids == 0)
+    values = np.frombuffer(weights.values, dtype=np.float64)[word]
+    return bias + np.bincount(sentence, values, minlength=len(starts)), words, starts, distinct
 
 
 def noisy_or(logits: np.ndarray) -> float:
@@ -89,36 +114,44 @@ def noisy_or(logits: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, logits).sum()))
 
 
+def document_score(text: str, weights: _Weights, bias: float) -> float:
+    logits, _, _, distinct = sentence_scores(text, weights, bias)
+    return noisy_or(logits[distinct])
+
+
 def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     """Feature weights and bias that maximise the likelihood of the labels, with decay, by Adam."""
-    ids: dict[bytes, int] = {}
-    flat, stops, owner = [], [], []
+    ids: dict[bytes, int] = {STOP: 0}
+    flat, sentence, owner, base = [], [], [], 0
     for k, text in enumerate(texts):
         words = tokens(text)
-        flat.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int32, count=len(words)))
-        stops.append(np.fromiter((w == STOP for w in words), dtype=bool, count=len(words)))
-        owner.append(np.full(len(sentence_starts(stops[-1])), k))
+        numbers = np.fromiter((ids.setdefault(w, len(ids)) for w in words), dtype=np.int64, count=len(words))
+        starts, own, word, distinct = instances(numbers, numbers == 0)
+        place = np.full(len(starts), -1)
+        place[distinct] = np.arange(len(distinct))
+        kept = place[own] >= 0
+        flat.append(word[kept].astype(np.int32))
+        sentence.append((place[own][kept] + base).astype(np.int32))
+        owner.append(np.full(len(distinct), k))
+        base += len(distinct)
     weights, bias = np.zeros(1 << FEATURE_BITS, dtype=np.float32), START
-    if labels.sum() == 0 or not ids:
+    if labels.sum() == 0 or not base:
         return weights, -30.0
-    starts, base = [], 0
-    for stop in stops:
-        starts.append(sentence_starts(stop) + base)
-        base += len(stop)
-    starts, owner, flat, stop = np.concatenate(starts), np.concatenate(owner), np.concatenate(flat), np.concatenate(stops)
-    lengths = np.diff(np.append(starts, len(flat)))
-    flat, sentence = flat[starts[0] :], np.repeat(np.arange(len(starts), dtype=np.int32), lengths)
-    live = ~stop[starts[0] :]
-    flat, sentence = flat[live], sentence[live]
+    owner, flat, sentence = np.concatenate(owner), np.concatenate(flat), np.concatenate(sentence)
     lists = [features(w) for w in ids]
     word = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
     feature = np.concatenate([np.array(x, dtype=np.int64) for x in lists])
+    # A feature that few documents have explains them one by one and says nothing about others.
+    documents = np.bincount(np.unique(owner[sentence] * len(lists) + flat) % len(lists), minlength=len(lists))
+    spread = np.bincount(feature, documents[word], minlength=1 << FEATURE_BITS)
+    common = spread[feature] >= max(LEAST_DOCS, len(texts) // LEAST_SHARE)
+    word, feature = word[common], feature[common]
     used, slot = np.unique(feature, return_inverse=True)
     own = np.zeros(len(used))
     m, v, bm, bv = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, STEPS + 1):
         by_word = np.bincount(word, own[slot], minlength=len(lists))
-        z = bias + np.bincount(sentence, by_word[flat], minlength=len(starts))
+        z = bias + np.bincount(sentence, by_word[flat], minlength=base)
         total = np.maximum(np.bincount(owner, np.logaddexp(0, z), minlength=len(texts)), 1e-12)
         # d(-log likelihood)/d(total): 1 for clean documents, -exp(-total)/(1 - exp(-total)) for toxic ones.
         outer = np.where(labels > 0, -1 / np.expm1(np.minimum(total, 50)), 1.0)
@@ -154,7 +187,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
         weights, bias = sent.value
         known = _Weights(weights)
         for batch in batches:
-            found = [noisy_or(sentence_scores(t.as_py() or "", known, bias)[0]) for t in batch.column(text)]
+            found = [document_score(t.as_py() or "", known, bias) for t in batch.column(text)]
             arrays = [batch.column(c) for c in columns] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name])
 
@@ -173,7 +206,7 @@ def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], least:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                logits, words, starts = sentence_scores(text.as_py() or "", known, bias)
+                logits, words, starts, _ = sentence_scores(text.as_py() or "", known, bias)
                 for k in np.flatnonzero(1 / (1 + np.exp(-logits)) >= least):
                     end = starts[k + 1] if k + 1 < len(starts) else len(words)
                     said = b" ".join(w for w in words[starts[k] : end] if w != STOP).decode("utf-8", "replace")

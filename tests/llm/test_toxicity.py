@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from oreflow.llm.common import held_out
-from oreflow.llm.toxicity import SENTENCE_WORDS, learn, noisy_or, offending_sentences, sentence_scores, tokens, toxicity, train
+from oreflow.llm.toxicity import SENTENCE_WORDS, document_score, learn, offending_sentences, sentence_scores, tokens, toxicity, train
 
 DOCS, LABELS = "doc_id long, text string, score double, held_out string", "doc_id long, toxic int, text string"
 BAD = ["vile", "grubby", "rotten"]
@@ -58,7 +58,7 @@ def test_scores_equal_plain_formula():
     weights, bias = train(texts, labels)
     from oreflow.llm.toxicity import _Weights, features
 
-    text = "A vile, b! c\nd" + " q" * (SENTENCE_WORDS + 3)
+    text = "A vile, b! c\nd" + " q" * (3 * SENTENCE_WORDS)
     sentences, now = [], []
     for w in [*tokens(text), b"."]:
         if w == b"." or len(now) == SENTENCE_WORDS:
@@ -66,11 +66,11 @@ def test_scores_equal_plain_formula():
             now = []
         if w != b".":
             now.append(w)
-    logits = [bias + sum(float(weights[f]) for w in s for f in features(w)) for s in sentences]
-    mine = sentence_scores(text, _Weights(weights), bias)[0]
-    assert np.allclose(mine, logits)
-    plain = 1 - math.prod(1 - 1 / (1 + math.exp(-z)) for z in logits)
-    assert abs(noisy_or(mine) - plain) < 1e-9
+    logits = [bias + sum(float(weights[f]) for w in set(s) for f in features(w)) for s in sentences]
+    assert np.allclose(sentence_scores(text, _Weights(weights), bias)[0], logits)
+    once = {frozenset(s): z for s, z in zip(sentences, logits, strict=True)}
+    plain = 1 - math.prod(1 - 1 / (1 + math.exp(-z)) for z in once.values())
+    assert len(once) < len(sentences) and abs(document_score(text, _Weights(weights), bias) - plain) < 1e-9
 
 
 def test_without_toxic_labels(spark):
