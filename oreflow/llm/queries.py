@@ -15,6 +15,7 @@ from oreflow.llm.langid import identify
 from oreflow.llm.lm import score_documents
 from oreflow.llm.packing import pack
 from oreflow.llm.simhash import near_duplicates
+from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.toxicity import toxicity
 from oreflow.llm.warc import archive
 
@@ -116,3 +117,19 @@ def op10_language_id(spark, sf_dir):
 def op6_lm_scoring(spark, sf_dir):
     held, fold = held_out(F.col("doc_id"), 7, 2), held_out(F.col("doc_id"), 7, 3)
     return score_documents(table(spark, sf_dir, "documents"), held, fold)
+
+
+@query(
+    r"""WITH docs AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
+             places AS (SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS phrase
+                        FROM docs, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS s)),
+             hits AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY phrase) AS owner FROM places) WHERE owner < doc_id),
+             gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM hits),
+             all_words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM docs),
+             kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM all_words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+             removed AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM docs LEFT JOIN kept USING (doc_id) LEFT JOIN removed USING (doc_id)"""
+)
+def op3_substring_dedup(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "spans")
