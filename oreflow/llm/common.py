@@ -63,16 +63,3 @@ def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> bool:
 def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     """Mark the frame for broadcast when its counted size is within the bound; else leave the choice to Spark."""
     return F.broadcast(df) if small(df, row_bytes) else df
-
-
-def one_of_each(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each value of the keys; rows whose keys are unique, usually all, don't move whole."""
-    twice = rows.groupBy(*keys).count().where("count > 1").drop("count")
-    if twice.isEmpty():
-        return rows
-    match = None
-    for k in keys:
-        equal = rows[k].eqNullSafe(twice[k])
-        match = equal if match is None else match & equal
-    repeated = rows.join(twice, match, "left_semi").dropDuplicates(keys)
-    return rows.join(twice, match, "left_anti").unionByName(repeated)

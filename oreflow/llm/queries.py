@@ -12,6 +12,7 @@ from oreflow.llm.common import held_out
 from oreflow.llm.decontam import contamination
 from oreflow.llm.exact import exact_duplicates
 from oreflow.llm.langid import identify
+from oreflow.llm.licenses import scan
 from oreflow.llm.lm import score_documents
 from oreflow.llm.packing import pack
 from oreflow.llm.simhash import near_duplicates
@@ -133,3 +134,8 @@ def op6_lm_scoring(spark, sf_dir):
 )
 def op3_substring_dedup(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept", "spans")
+
+
+@query()
+def op1_license_scan(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))

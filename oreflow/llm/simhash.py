@@ -246,7 +246,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, budget:
     counts only where no other is reachable. Rows that repeat a document get the same answer.
     Other columns are ignored; an empty table gives no rows.
 
-    Returns doc_id, fingerprint (16 hexadecimal digits), component_id, row_key.
+    Returns doc_id, fingerprint (16 hexadecimal digits), component_id, row_key, root (the component's own number).
     """
     store = Store(docs.sparkSession, "simhash")
     marked = store.put("marked", fingerprints(docs, shingle_words))
@@ -255,6 +255,6 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, budget:
     placed = nodes.join(roots.select(F.col("a").alias("fingerprint"), F.col("b").alias("root")), "fingerprint", "left")
     placed = placed.withColumn("root", F.coalesce("root", "fingerprint"))
     smallest = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = placed.join(smallest, "root").select("fingerprint", "component_id")
+    classes = placed.join(smallest, "root").select("fingerprint", "component_id", "root")
     digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint")
-    return marked.join(classes, "fingerprint").select("doc_id", digits, "component_id", "row_key")
+    return marked.join(classes, "fingerprint").select("doc_id", digits, "component_id", "row_key", "root")

@@ -181,7 +181,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
 def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str], name: str = "score") -> DataFrame:
     """The given columns of each document and its probability of being toxic under ``name``; null text is empty."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    text = "__text"
+    text = "text" if "text" in columns else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = sent.value
@@ -191,8 +191,8 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
             arrays = [batch.column(c) for c in columns] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name])
 
-    inputs = docs.select(*columns, F.col("text").alias(text))
-    schema = inputs.drop(text).schema.add(name, "double")
+    inputs = docs.select(*columns) if text in columns else docs.select(*columns, F.col("text").alias(text))
+    schema = docs.select(*columns).schema.add(name, "double")
     return inputs.mapInArrow(run, schema)
 
 
