@@ -21,45 +21,49 @@ BUCKET_BITS = 16
 SMOOTHING = 0.5
 #: A model has at most so many languages; more is an error, as labels are then no languages.
 MOST_LANGUAGES = 1000
-#: Characters looked at in one step.
-STEP = 1 << 20
-LETTERS = np.array([chr(c).isalpha() for c in range(0x10000)])
+#: Characters looked at in one step; what is made of them fits a core's cache.
+STEP = 1 << 16
+#: What a character counts as: letters as themselves, the end of a text (0) as such, all else as a blank.
+SYMBOLS = np.array([c if chr(c).isalpha() else 32 for c in range(0x10000)], dtype=np.uint32)
+SYMBOLS[0] = 0
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) in runs of about STEP characters; a longer text is a run of its own."""
-    run, first, size = [], 0, 0
-    for k, text in enumerate(column):
-        text = text.as_py() or ""
+def _runs(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in runs of about STEP characters; a longer text is a run of its own."""
+    run, size = [], 0
+    for text in texts:
         if run and size + len(text) > STEP:
-            yield first, run
-            run, first, size = [], k, 0
+            yield run
+            run, size = [], 0
         run.append(text)
         size += len(text)
     if run:
-        yield first, run
-
-
-def grams(texts: list[str], sizes: tuple[int, ...], bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each n-gram size: (bucket, number of its text). Case is ignored; what is no letter counts as a blank."""
-    joined = "\x00".join(t.lower().replace("\x00", " ") for t in texts)
-    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    ends = codes == 0
-    owner = np.cumsum(ends) - ends
-    letter = np.where(codes < len(LETTERS), LETTERS[np.minimum(codes, len(LETTERS) - 1)], True)
-    chars = np.where(letter, codes, np.uint32(32)).astype(np.uint64)
-    hashed = np.zeros(len(chars), dtype=np.uint64)
-    blank = np.ones(len(chars), dtype=bool)
+        yield run
+
+
+def grams(texts: list[str], sizes: tuple[int, ...], bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """(for each n-gram size the bucket of the n-gram at each character, where each text begins).
+
+    Case is ignored and what is no letter is a blank. N-grams of blanks alone, and those that would
+    reach into the next text, are in the bucket after the last one.
+    """
+    low = [t.lower().replace("\x00", " ") for t in texts]
+    codes = np.frombuffer(("\x00".join(low) + "\x00").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    starts = np.cumsum([0, *(len(t) + 1 for t in low[:-1])])
+    symbols = SYMBOLS[np.minimum(codes, len(SYMBOLS) - 1)]
+    if codes.max() >= len(SYMBOLS):
+        symbols = np.where(codes < len(SYMBOLS), symbols, codes)
+    letter, inside = symbols > 32, symbols > 0
+    hashed, some, whole, found = symbols, letter, inside, []
     for n in range(1, max(sizes) + 1):
-        keep = len(chars) - n + 1
-        if keep <= 0:
-            return
-        hashed = hashed[:keep] * np.uint64(0x100000001B3) + chars[n - 1 :] + np.uint64(1)
-        blank = blank[:keep] & ~letter[n - 1 :]
+        if n > 1:
+            hashed = hashed[:-1] * np.uint32(0x01000193) + symbols[n - 1 :]
+            some, whole = some[:-1] | letter[n - 1 :], whole[:-1] & inside[n - 1 :]
         if n in sizes:
-            inside = (owner[:keep] == owner[n - 1 :]) & ~ends[:keep] & ~ends[n - 1 :] & ~blank
-            bucket = ((hashed + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)
-            yield bucket[inside].astype(np.int64), owner[:keep][inside]
+            bucket = ((hashed + np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)
+            bucket[~(some & whole)] = 1 << bits
+            found.append(bucket)
+    return found, starts
 
 
 def learn(docs: DataFrame, rows: Column, sizes: tuple[int, ...] = SIZES, bits: int = BUCKET_BITS) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -71,17 +75,16 @@ def learn(docs: DataFrame, rows: Column, sizes: tuple[int, ...] = SIZES, bits: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, np.ndarray] = {}
         for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for first, texts in _texts(batch.column("text")):
-                own = langs[first : first + len(texts)]
-                for lang in own:
-                    found.setdefault(lang, np.zeros((1 << bits) + 1, dtype=np.int64))[-1] += 1
-                names = sorted(set(own))
-                of = np.array([names.index(x) for x in own])
-                for bucket, owner in grams(texts, sizes, bits):
-                    total = np.bincount(of[owner] << bits | bucket, minlength=len(names) << bits)
-                    for k, lang in enumerate(names):
-                        found[lang][:-1] += total[k << bits : (k + 1) << bits]
+            by_lang: dict[str, list[str]] = {}
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                by_lang.setdefault(lang, []).append(text.as_py() or "")
+            for lang, texts in by_lang.items():
+                # N-grams by bucket and, where none is, the number of documents.
+                total = found.setdefault(lang, np.zeros((1 << bits) + 1, dtype=np.int64))
+                for run in _runs(texts):
+                    for bucket in grams(run, sizes, bits)[0]:
+                        total[:-1] += np.bincount(bucket, minlength=len(total))[:-1]
+                total[-1] += len(texts)
         for lang, total in found.items():
             used = np.flatnonzero(total)
             columns = [pa.array([lang]), pa.array([used.astype(np.int32)]), pa.array([total[used]])]
@@ -112,25 +115,29 @@ def identify(docs: DataFrame, rows: Column, held: Column, sizes: tuple[int, ...]
     is an id like others; other columns are ignored; an empty table gives no rows.
     """
     names, prior, likely = learn(docs, rows, sizes, bits)
-    sent = docs.sparkSession.sparkContext.broadcast((prior, np.ascontiguousarray(likely.T.astype(np.float32))))
+    padded = np.concatenate([likely, np.zeros((len(names), 1))], axis=1).astype(np.float32)
+    sent = docs.sparkSession.sparkContext.broadcast((prior, padded))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, table = sent.value
         for batch in batches:
             langs, scores = [], []
-            for _, texts in _texts(batch.column("text")):
-                total = np.tile(first, (len(texts), 1))
-                for bucket, owner in grams(texts, sizes, bits) if names else ():
-                    if len(owner):
-                        starts = np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1])))
-                        total[owner[starts]] += np.add.reduceat(table[bucket], starts, axis=0, dtype=np.float64)
-                if names:
+            for run in _runs([t.as_py() or "" for t in batch.column("text")]):
+                known = [bool(names) and any(c.isalpha() for c in text) for text in run]
+                best, share = np.zeros(len(run), dtype=np.int64), np.zeros(len(run))
+                if any(known):
+                    buckets, starts = grams(run, sizes, bits)
+                    total = np.tile(first, (len(run), 1))
+                    for k, own in enumerate(table):
+                        sums = own[buckets[0]]
+                        for bucket in buckets[1:]:
+                            sums[: len(bucket)] += own[bucket]
+                        total[:, k] += np.add.reduceat(sums, starts, dtype=np.float64)
                     best = total.argmax(axis=1)
                     share = 1 / np.exp(total - total.max(axis=1, keepdims=True)).sum(axis=1)
-                for k, text in enumerate(texts):
-                    known = bool(names) and any(c.isalpha() for c in text)
-                    langs.append(names[best[k]] if known else UNKNOWN)
-                    scores.append(float(share[k]) if known else 0.0)
+                for k, sure in enumerate(known):
+                    langs.append(names[best[k]] if sure else UNKNOWN)
+                    scores.append(float(share[k]) if sure else 0.0)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "lang_pred", "score"])
 
     inputs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), F.col("text"))
