@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from oreflow.llm.common import Store, row_key
+
 TRAIN_DOCS = 8_000
 #: A labelled document longer than this isn't learned from.
 TRAIN_CHARS = 100_000
@@ -31,6 +33,8 @@ SENTENCE_WORDS = 64
 LEAST_DOCS, LEAST_SHARE = 5, 400
 STEPS, RATE, DECAY = 80, 0.15, 2e-3
 START = -7.0
+#: Bias of a model that has seen nothing toxic.
+NEVER = -30.0
 #: Words one Python task remembers; beyond it starts anew.
 REMEMBERED = 400_000
 STOP = b"."
@@ -136,13 +140,16 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
         base += len(distinct)
     weights, bias = np.zeros(1 << FEATURE_BITS, dtype=np.float32), START
     if labels.sum() == 0 or not base:
-        return weights, -30.0
+        return weights, NEVER
     owner, flat, sentence = np.concatenate(owner), np.concatenate(flat), np.concatenate(sentence)
-    lists = [features(w) for w in ids]
-    word = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    feature = np.concatenate([np.array(x, dtype=np.int64) for x in lists])
+    n_words, flat_features, sizes = len(ids), array("i"), array("b")
+    for w in ids:
+        own = features(w)
+        flat_features.extend(own)
+        sizes.append(len(own))
+    word, feature = np.repeat(np.arange(n_words, dtype=np.int32), sizes), np.frombuffer(flat_features, dtype=np.int32)
     # A feature that few documents have explains them one by one and says nothing about others.
-    documents = np.bincount(np.unique(owner[sentence] * len(lists) + flat) % len(lists), minlength=len(lists))
+    documents = np.bincount(np.unique(owner[sentence] * n_words + flat) % n_words, minlength=n_words)
     spread = np.bincount(feature, documents[word], minlength=1 << FEATURE_BITS)
     common = spread[feature] >= max(LEAST_DOCS, len(texts) // LEAST_SHARE)
     word, feature = word[common], feature[common]
@@ -150,13 +157,13 @@ def train(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, float]:
     own = np.zeros(len(used))
     m, v, bm, bv = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
     for step in range(1, STEPS + 1):
-        by_word = np.bincount(word, own[slot], minlength=len(lists))
+        by_word = np.bincount(word, own[slot], minlength=n_words)
         z = bias + np.bincount(sentence, by_word[flat], minlength=base)
         total = np.maximum(np.bincount(owner, np.logaddexp(0, z), minlength=len(texts)), 1e-12)
         # d(-log likelihood)/d(total): 1 for clean documents, -exp(-total)/(1 - exp(-total)) for toxic ones.
         outer = np.where(labels > 0, -1 / np.expm1(np.minimum(total, 50)), 1.0)
         inner = outer[owner] / (1 + np.exp(-np.clip(z, -50, 50)))
-        by_word = np.bincount(flat, inner[sentence], minlength=len(lists))
+        by_word = np.bincount(flat, inner[sentence], minlength=n_words)
         grad, bgrad = np.bincount(slot, by_word[word], minlength=len(used)) + DECAY * len(texts) / 100 * own, inner.sum()
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         bm, bv = 0.9 * bm + 0.1 * bgrad, 0.999 * bv + 0.001 * bgrad**2
@@ -170,12 +177,30 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
     """Model from a sample of the labelled documents that ``rows``, an expression of doc_id, admits.
 
     A document with several labels is toxic if one says so. The sample is the ``train_docs`` documents
-    with the least hash of their id, among those of at most ``train_chars`` characters.
+    with the least hash of their id, among those of at most ``train_chars`` characters. Which they are is
+    settled first, on ids and lengths; only their texts then move, to the one task that trains.
     """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch.column("text").to_pylist()
+            toxic += batch.column("toxic").to_pylist()
+        weights, bias = train(texts, np.array(toxic, dtype=np.float64))
+        yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"])
+
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).where(rows & (F.length("text") <= train_chars)).join(marked, "doc_id")
-    sample = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(train_docs).select("text", "toxic").toArrow()
-    return train(sample.column("text").to_pylist(), sample.column("toxic").to_numpy().astype(np.float64))
+    text = F.coalesce("text", F.lit(""))
+    key = row_key(F.col("doc_id"), F.col("text")).alias("row_key")
+    sizes = docs.where(rows).select("doc_id", key, F.length(text).alias("chars")).where(F.col("chars") <= train_chars).drop("chars")
+    chosen = sizes.join(marked, "doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id", "row_key").limit(train_docs)
+    ids = Store(docs.sparkSession, "toxicity").put("sample", chosen)
+    # At most train_docs rows, a fixed number.
+    sample = docs.select("doc_id", key, text.alias("text")).join(F.broadcast(ids), ["doc_id", "row_key"]).dropDuplicates(["doc_id", "row_key"])
+    model = sample.select("text", "toxic").repartition(1).mapInArrow(fit, "weights binary, bias double").first()
+    if model is None:
+        return np.zeros(1 << FEATURE_BITS, dtype=np.float32), NEVER
+    return np.frombuffer(bytes(model["weights"]), dtype=np.float32), model["bias"]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str], name: str = "score") -> DataFrame:
