@@ -54,21 +54,20 @@ def windows(items: DataFrame, length: int = WINDOW) -> DataFrame:
     return spread.groupBy("query").agg(F.collect_set("item").alias("items")).withColumn("query_id", F.xxhash64("query"))
 
 
-def _ranked(postings: DataFrame, queries: DataFrame, rarest: int) -> DataFrame:
+def _ranked(postings: DataFrame, queries: DataFrame, rarest: int, store: Store) -> DataFrame:
     """The rarest terms of each query: term, query_id, offset, rank from 0, lists (how many the query has)."""
     spread = queries.select("query_id", F.posexplode("query").alias("offset", "term"))
-    frequency = postings.groupBy("term").agg(F.count("*").alias("postings"))
+    frequency = broadcast_if_small(store.put("frequency", postings.groupBy("term").agg(F.count("*").alias("postings"))), 64)
     order = Window.partitionBy("query_id").orderBy("postings", "offset")
     counted = spread.join(frequency, "term", "left").fillna(0, ["postings"]).withColumn("rank", F.row_number().over(order) - 1)
     size = F.max("rank").over(Window.partitionBy("query_id")) + 1
     return counted.withColumn("lists", F.least(F.lit(rarest), size)).where(F.col("rank") < rarest)
 
 
-def intersect(postings: DataFrame, queries: DataFrame, rarest: int = RAREST, store: Store | None = None) -> DataFrame:
+def intersect(postings: DataFrame, queries: DataFrame, store: Store, rarest: int = RAREST) -> DataFrame:
     """Places doc_id, row_key, query_id, start where the offset-adjusted lists of the rarest terms all meet."""
-    ranked = _ranked(postings, queries, rarest).select("term", "query_id", "offset", "rank", "lists")
-    if store is not None:
-        ranked = broadcast_if_small(store.put("ranked", ranked), 96)
+    ranked = _ranked(postings, queries, rarest, store).select("term", "query_id", "offset", "rank", "lists")
+    ranked = broadcast_if_small(store.put("ranked", ranked), 96)
     shifted = postings.join(ranked, "term").withColumn("start", F.col("pos") - F.col("offset")).where("start >= 0")
     met = shifted.groupBy("row_key", "doc_id", "query_id", "start").agg(
         F.bit_or(F.expr("shiftleft(1, rank)")).alias("met"), F.first("lists").alias("lists")
@@ -82,7 +81,7 @@ def phrase_matches(docs: DataFrame, items: DataFrame, length: int = WINDOW, rare
     queries = store.put("queries", windows(items, length))
     terms = store.put("terms", queries.select(F.explode("query").alias("term")).distinct())
     postings = build_index(docs, store, terms)
-    places = intersect(postings, queries, rarest, store)
+    places = intersect(postings, queries, store, rarest)
     hits = places.join(broadcast_if_small(queries, 512), "query_id")
     hits = hits.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("start", "query", "items")).alias("places"))
     hits = store.put("hits", hits)
@@ -136,7 +135,7 @@ def proximity_matches(docs: DataFrame, items: DataFrame, slop: int = 30, rarest:
     terms = terms.withColumn("query_id", F.xxhash64("item_id", "query"))
     wanted = store.put("terms", terms.select(F.explode("query").alias("term")).distinct())
     postings = build_index(docs, store, wanted)
-    ranked = broadcast_if_small(store.put("ranked", _ranked(postings, terms, rarest).select("term", "query_id", "rank", "lists")), 96)
+    ranked = broadcast_if_small(store.put("ranked", _ranked(postings, terms, rarest, store).select("term", "query_id", "rank", "lists")), 96)
     listed = postings.join(ranked, "term").distinct()
     cells = F.array(*[(F.floor(F.col("pos") / slop) + d) for d in (-1, 0, 1)])
     pivots = listed.where("rank = 0").select("row_key", "doc_id", "query_id", "lists", F.col("pos").alias("at"), F.explode(cells).alias("cell"))
