@@ -17,6 +17,9 @@ from oreflow.functions import parsing
 
 Check = Callable[[Column], Column]
 
+#: Text of a row that did not fit its header, null for others.
+MALFORMED = "_malformed"
+
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -87,6 +90,8 @@ class Contract:
         """One expression per field and row rule: the message of what is wrong, or null."""
         types = {f.name: f.dataType for f in df.schema.fields}
         found = [f.error(types[f.name]) for f in self.fields]
+        if MALFORMED in types:
+            found.insert(0, F.when(F.col(MALFORMED).isNotNull(), "row: more or fewer fields than the header"))
         if self.row_rules:
             values = {f.name: f.parsed(types[f.name]) for f in self.fields}
             found += [F.when(~rule.holds(values), F.lit(rule.message)) for rule in self.row_rules]
@@ -135,6 +140,7 @@ ORDER_STATES = ("pending", "shipped", "delivered", "cancelled", "returned")
 EXPORT_STATES = ("shipped", "pending", "delivered", "cancelled")
 DEFAULT_TIER = "standard"
 
+# Columns and rules of the three sources.
 ORDERS = Contract(
     "orders",
     ("order_id",),

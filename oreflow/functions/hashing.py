@@ -11,7 +11,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RATE_SCALE = 10_000
+DRAWS = 1 << 32
 _SLOT_DIGITS = 8
 
 
@@ -37,8 +37,8 @@ def draw(keys: Sequence[Column], seed: int, slot: int = 0) -> Column:
 
 
 def chosen(keys: Sequence[Column], seed: int, rate: float, slot: int = 0) -> Column:
-    """True for a share ``rate`` of the rows."""
-    return draw(keys, seed, slot) % RATE_SCALE < F.lit(round(rate * RATE_SCALE))
+    """True for a share ``rate`` of the rows, however small."""
+    return draw(keys, seed, slot) < F.lit(round(rate * DRAWS))
 
 
 def pick(values: Sequence[str], number: Column) -> Column:

@@ -6,17 +6,32 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: Amounts below this are added as decimals, so that their sum does not depend on order.
+_DECIMAL_BELOW = 1e18
+
+
+def _finite(amount: Column) -> Column:
+    """The amount as a double; null when it is no number, undefined or infinite."""
+    value = amount.try_cast("double")
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def exact_sum(amount: Column) -> Column:
-    """Sum of a money column, through decimals; a double at the end.
+    """Sum of all finite amounts of a column, a double at the end.
 
-    Infinite and undefined amounts, which a price may hold, have no decimal and are left out.
+    Amounts are added as decimals with nine places, unrounded below that; the few that are too
+    large for it, beyond any price, are added as doubles. Infinite and undefined ones count nowhere.
     """
-    return F.sum(amount.try_cast("decimal(18,2)")).cast("double")
+    value = _finite(amount)
+    near = F.abs(value) < _DECIMAL_BELOW
+    decimals = F.sum(F.when(near, value).try_cast("decimal(28,9)")).cast("double")
+    rest = F.sum(F.when(~near, value))
+    return F.when(rest.isNull(), decimals).otherwise(F.coalesce(decimals, F.lit(0.0)) + rest)
 
 
 def exact_mean(amount: Column, digits: int = 2) -> Column:
-    """Mean of a money column from an exact sum, rounded."""
-    return F.round(exact_sum(amount) / F.count(amount), digits)
+    """Mean of the amounts that :func:`exact_sum` adds, rounded."""
+    return F.round(exact_sum(amount) / F.count(_finite(amount)), digits)
 
 
 def quality_pct(bad: Column, total: Column) -> Column:

@@ -75,13 +75,16 @@ def on_day(df: DataFrame, column: str, day: str | None) -> DataFrame:
     A timestamp is compared with the bounds of the day, not cast to a date, so that the filter
     reaches the file statistics.
     """
-    if day is None:
-        return df
+    return df if day is None else within(df, column, day, day)
+
+
+def within(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
+    """Rows from the first to the last day, both included, by bounds that reach the file statistics."""
     kind = df.schema[column].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        start = F.lit(day).cast("date")
-        return df.where((F.col(column) >= start.cast(kind)) & (F.col(column) < F.date_add(start, 1).cast(kind)))
-    return df.where(F.col(column) == F.lit(day).cast(kind))
+        start, end = F.lit(first).cast("date"), F.lit(last).cast("date")
+        return df.where((F.col(column) >= start.cast(kind)) & (F.col(column) < F.date_add(end, 1).cast(kind)))
+    return df.where(F.col(column).between(F.lit(first).cast(kind), F.lit(last).cast(kind)))
 
 
 def select_days(available: Sequence[str], selection: str | Sequence[str], run_days: Sequence[str] = ()) -> list[str]:

@@ -13,16 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RANK = "_rank"
+#: Spark's own default for its limit below the shuffle.
+_MAP_SIDE_LIMIT, _PARTS = 1000, 64
 
 
-def first_per_group(df: DataFrame, group: Sequence[str | Column], order: Sequence[Column], n: int = 1, rank: str | None = None) -> DataFrame:
+def first_per_group(df: DataFrame, group: Sequence[str | Column], order: Sequence[Column], n: int = 1, rank: str | None = None, spread: Sequence[str] = ()) -> DataFrame:
     """First ``n`` rows of each group in the given total order, optionally with their rank.
 
-    The map-side limit applies up to ``spark.sql.optimizer.windowGroupLimitThreshold`` rows
-    (1000 by default); raise that setting for a larger ``n``.
+    Spark limits groups before the shuffle up to a certain ``n``. For a larger one groups are first
+    cut in parts, by a hash of the columns ``spread``, all by default, so that no task ranks a whole hot group.
     """
-    by = Window.partitionBy(*group).orderBy(*order)
     name = rank or _RANK
+    if n > _MAP_SIDE_LIMIT:
+        part = Window.partitionBy(*group, F.pmod(F.hash(*(spread or df.columns)), F.lit(_PARTS))).orderBy(*order)
+        df = df.withColumn(name, F.row_number().over(part)).where(F.col(name) <= n).drop(name)
+    by = Window.partitionBy(*group).orderBy(*order)
     kept = df.withColumn(name, F.row_number().over(by)).where(F.col(name) <= n)
     return kept if rank else kept.drop(name)
 

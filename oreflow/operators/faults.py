@@ -23,7 +23,7 @@ UNKNOWN_STATES = ("warped", "unknown", "in_transit_maybe", "??")
 ORGANIC_STATES = ("warped", "unknown", "??")
 INVALID_EMAILS = ("not-an-email", "missing@", "@nodomain")
 FUTURE_DAYS = 365
-PROMOTION_CODES = ("BLACKFRI", "SAVE10", "WELCOME", "SUMMER25", "")
+PROMOTION_CODES = ("SPRING", "LOYAL5", "FIRSTBUY", "")
 
 
 @dataclass(frozen=True)
@@ -38,8 +38,10 @@ class Template:
 
 
 def _negative_amount(column: str = "amount") -> Column:
-    size = F.abs(F.col(column).cast("string").try_cast("decimal(18,2)"))
-    return F.concat(F.lit("-"), size.cast("string"))
+    """The amount with a minus sign; what is no finite number stays as it is."""
+    text = F.trim(F.col(column).cast("string"))
+    number = F.abs(text.try_cast("double")) < float("inf")
+    return F.when(number, F.concat(F.lit("-"), F.regexp_replace(text, "^[+-]", ""))).otherwise(F.col(column).cast("string"))
 
 
 def _set(column: str, value: object) -> Patch:
@@ -71,14 +73,8 @@ TEMPLATES = {
     )
 }
 
-# Templates of the round-robin plan, and the plan by day.
+# Templates of the round-robin plan.
 FIXED_TEMPLATES = ("ORD_NEG_AMOUNT", "ORD_ZERO_QTY", "ORD_BAD_STATUS", "CUST_BAD_EMAIL", "CUST_MISSING_NAME")
-SCHEDULE = {
-    "2026-08-07": ("ORD_NEG_AMOUNT", "CUST_BAD_EMAIL"),
-    "2026-08-08": ("ORD_BAD_STATUS",),
-    "2026-08-09": ("ORD_ZERO_QTY", "CUST_MISSING_NAME", "ORD_DUPLICATE"),
-    "2026-08-10": ("CUST_FUTURE_SIGNUP", "ORD_NULL_PRODUCT"),
-}
 
 
 def corrupt_orders(df: DataFrame, key: Sequence[str], rate: float, seed: int = 42) -> DataFrame:
@@ -141,7 +137,7 @@ def plan_random(days: DataFrame, low: int, high: int, seed: int = 42, templates:
     return _as_plan(slots.withColumn("template_id", pick(templates, draw([F.col("date"), F.col("seq")], seed, 1))))
 
 
-def plan_schedule(days: DataFrame, schedule: Mapping[str, Sequence[str]] = SCHEDULE) -> DataFrame:
+def plan_schedule(days: DataFrame, schedule: Mapping[str, Sequence[str]]) -> DataFrame:
     """The templates a schedule names for each of the days."""
     case = F.lit(None).cast("array<string>")
     for day, listed in schedule.items():
@@ -149,44 +145,72 @@ def plan_schedule(days: DataFrame, schedule: Mapping[str, Sequence[str]] = SCHED
     return _as_plan(days.select("date", F.posexplode(case).alias("pos", "template_id")).withColumn("seq", F.col("pos") + 1))
 
 
-def fault_plan(days: DataFrame, mode: str, low: int = 1, high: int = 2, seed: int = 42) -> DataFrame:
+def fault_plan(
+    days: DataFrame,
+    mode: str,
+    low: int = 1,
+    high: int = 2,
+    seed: int = 42,
+    templates: Sequence[str] | None = None,
+    schedule: Mapping[str, Sequence[str]] | None = None,
+) -> DataFrame:
+    """A plan by mode. ``templates`` replaces the list of the first two, ``schedule`` is what ``per_day`` follows."""
     if mode == "fixed":
-        return plan_fixed(days)
+        return plan_fixed(days, templates or FIXED_TEMPLATES)
     if mode == "random":
-        return plan_random(days, low, high, seed)
+        return plan_random(days, low, high, seed, templates or tuple(TEMPLATES))
     if mode == "per_day":
-        return plan_schedule(days)
+        if schedule is None:
+            raise ValueError("mode 'per_day' needs a schedule")
+        return plan_schedule(days, schedule)
     raise ValueError(f"mode must be 'fixed', 'random' or 'per_day', got {mode!r}")
 
 
+def _in_turn(base: DataFrame, most: int, group: list[str]) -> DataFrame:
+    """Base rows, numbered in ``_nth``, for each place of a plan they serve: their own and every later one in turn."""
+    sized = base.withColumn("_size", F.count("*").over(Window.partitionBy(*group)).cast("int"))
+    return sized.withColumn("_place", F.explode(F.sequence(F.col("_nth"), F.lit(most), F.col("_size"))))
+
+
 def inject(
     rows: DataFrame,
     plan: DataFrame,
     kind: str,
     key: str,
     day: str,
-    most_per_day: int,
     seed: int = 42,
     settings: Mapping[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Add one faulty row per planned entry; returns all rows and the log of what was added.
 
-    The base row of an entry is taken from the same day. Per day only the ``most_per_day`` rows
-    of smallest hash can be needed, ``most_per_day`` being at least the longest plan of a day,
-    so the rows are cut to that number before the shuffle. Each of them then offers itself for
-    its own place in the plan and, on a day with fewer rows than entries, for every later place
-    in turn; rows and entries meet by (day, place) alone. A day without rows gets no fault.
-    Added rows have a new key unless the template repeats a row.
+    The base row of an entry is taken from the same day, or from any day where its own has no
+    rows; the added row then gets the entry's day. Only without any row at all is nothing added, and
+    the log says so by an entry without payload.
+
+    Of a day only as many rows, those of smallest hash, can be needed as the longest day of the plan
+    has entries. That number comes from the plan, and rows are cut to it before the shuffle. Each
+    of them then offers itself for its own place in the plan and, on a day with fewer rows than
+    entries, for every later place in turn; rows and entries meet by (day, place) alone.
+    Added rows have a new key unless the template repeats a row. Columns that begin with ``_`` are
+    left out of the log.
     """
     settings = settings or {}
     wanted = plan.where(F.col("type") == kind)
-    placed = first_per_group(wanted, ["date"], [F.col("seq")], most_per_day, rank="_place")
+    by_day = Window.partitionBy("date").orderBy("seq", "template_id")
+    placed = wanted.withColumn("_place", F.row_number().over(by_day))
+    # The longest day of a plan: settings decide it, never the data.
+    most = placed.agg(F.max("_place")).first()[0] or 1
     hashed = rows.withColumn("_h", draw([F.col(key)], seed, 3))
-    base = first_per_group(hashed, [day], [F.col("_h"), F.col(key)], most_per_day, rank="_nth")
-    base = base.withColumn("_size", F.count("*").over(Window.partitionBy(day)).cast("int"))
-    base = base.withColumn("_place", F.explode(F.sequence(F.col("_nth"), F.lit(most_per_day), F.col("_size"))))
-    base = base.withColumn("date", F.col(day)) if day != "date" else base
-    met = placed.join(base, ["date", "_place"])
+    base = first_per_group(hashed, [day], [F.col("_h"), F.col(key)], most, rank="_nth", spread=["_h"])
+    base = _in_turn(base, most, [day])
+    base = base.withColumn("date", F.col(day).cast("string")) if day != "date" else base
+    spare = hashed.orderBy("_h", key).limit(most).withColumn("_nth", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_h", key)))
+    spare = _in_turn(spare, most, [F.lit(0)]).drop("date") if day != "date" else _in_turn(spare, most, [F.lit(0)]).drop(day)
+    own = placed.join(base, ["date", "_place"])
+    bare = placed.join(rows.select(F.col(day).cast("string").alias("date")).distinct(), "date", "left_anti")
+    lent = bare.join(spare, "_place").withColumn(day, F.col("date").cast(rows.schema[day].dataType))
+    unmet = bare.join(spare.select("_place"), "_place", "left_anti")
+    met = own.select(lent.columns).unionByName(lent)
 
     number = draw([F.col("date"), F.col("seq")], seed, 2)
     mine = [t for t in TEMPLATES.values() if t.kind == kind]
@@ -204,15 +228,19 @@ def inject(
                 changed[column] = F.when(this, value.cast(rows.schema[column].dataType)).otherwise(kept)
     patched = met.withColumns({**changed, "_text": text})
     added = patched.select(*rows.columns)
-    payload = F.to_json(F.struct(*rows.columns))
-    log = patched.select(
-        F.col("date").cast("string").alias("date"),
-        F.lit("template").alias("source"),
-        "template_id",
-        F.lit(kind).alias("type"),
-        F.col("_text").alias("description"),
-        payload.alias("payload"),
-    )
+    payload = F.to_json(F.struct(*[c for c in rows.columns if not c.startswith("_")]))
+
+    def entries(df: DataFrame, described: Column, shown: Column) -> DataFrame:
+        return df.select(
+            F.col("date").cast("string").alias("date"),
+            F.lit("template").alias("source"),
+            "template_id",
+            F.lit(kind).alias("type"),
+            described.alias("description"),
+            shown.alias("payload"),
+        )
+
+    log = entries(patched, F.col("_text"), payload).unionByName(entries(unmet, text, F.lit(None).cast("string")))
     return rows.unionByName(added), log
 
 

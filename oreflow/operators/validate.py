@@ -14,6 +14,8 @@ from oreflow.contracts import EXPORT_STATES, Contract
 from oreflow.functions import parsing
 
 REASON = "_quarantine_reason"
+#: The same as a list, for counting: a message may hold the text's separator.
+REASONS = "_quarantine_reasons"
 QUARANTINED_AT = "_quarantined_at"
 
 
@@ -26,18 +28,19 @@ def good_rows(df: DataFrame, contract: Contract, typed: bool = True) -> DataFram
 def bad_rows(df: DataFrame, contract: Contract, quarantined_at: str | None = None) -> DataFrame:
     """Rows that break the contract, as they came, with every reason."""
     errors = contract.errors(df)
-    bad = df.where(F.coalesce(*errors).isNotNull()).withColumn(REASON, F.concat_ws("; ", *errors))
+    bad = df.where(F.coalesce(*errors).isNotNull())
+    bad = bad.withColumns({REASON: F.concat_ws("; ", *errors), REASONS: F.array_compact(F.array(*errors))})
     return bad if quarantined_at is None else bad.withColumn(QUARANTINED_AT, F.lit(quarantined_at))
 
 
 def reason_counts(bad: DataFrame) -> DataFrame:
     """How often each single reason occurs, most frequent first.
 
-    Rows are counted by their whole reason text first: there are only as many texts as there
-    are combinations of broken rules, and those few are what gets split.
+    Rows are counted by their whole list of reasons first: there are only as many lists as there
+    are combinations of broken rules.
     """
-    combined = bad.groupBy(REASON).agg(F.count("*").alias("n"))
-    single = combined.select(F.explode(F.split(REASON, "; ")).alias("reason"), "n")
+    combined = bad.groupBy(REASONS).agg(F.count("*").alias("n"))
+    single = combined.select(F.explode(REASONS).alias("reason"), "n")
     return single.groupBy("reason").agg(F.sum("n").alias("rows")).orderBy(F.desc("rows"), "reason")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from oreflow.operators import reports
 from oreflow.operators.days import day_range
@@ -14,11 +16,16 @@ from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sources.days import DAY, replay
 
 NAMES = ("orders", "customers")
+#: Day of the run that a customer belongs to. The sign-up date is a value, and faults change it.
+RUN_DAY = "_run_day"
 
 
 @dataclass(frozen=True)
 class QualitySettings:
-    """``mode`` None injects no templates; ``drift_after`` None adds no optional column."""
+    """``mode`` None injects no templates; ``drift_after`` None adds no optional column.
+
+    ``templates`` are those of the modes ``fixed`` and ``random``, ``schedule`` the days of ``per_day``.
+    """
 
     start: str
     days: int
@@ -29,6 +36,8 @@ class QualitySettings:
     customer_fault_rate: float = 0.05
     drift_after: int | None = None
     seed: int = 42
+    templates: tuple[str, ...] | None = None
+    schedule: Mapping[str, Sequence[str]] | None = None
 
 
 @dataclass(frozen=True)
@@ -44,7 +53,7 @@ class QualityRun:
     def summary(self) -> DataFrame:
         """Per day: rows, bad rows and quality of both sources, faults put in, drift, day number."""
         orders = reports.daily_counts(self.orders, "order_date", exported_order_is_bad(), "orders")
-        customers = reports.daily_counts(self.customers, "signup_date", exported_customer_is_bad(), "customers")
+        customers = reports.daily_counts(self.customers, RUN_DAY, exported_customer_is_bad(), "customers")
         drift = None
         if "promotion_code" in self.orders.columns:
             drift = reports.drift_flag(self.orders, "order_date", "promotion_code")
@@ -74,7 +83,7 @@ class QualityRun:
     def export(self, path: str) -> None:
         """Daily order CSVs, daily customer JSON and the fault log."""
         write_orders_csv(self.orders, f"{path}/orders")
-        write_json(self.customers, f"{path}/customers", by="signup_date")
+        write_json(self.customers.withColumnRenamed(RUN_DAY, "date"), f"{path}/customers", by="date")
         write_json(self.log, f"{path}/quarantine_log")
 
 
@@ -85,33 +94,34 @@ def quality_run(
     folder: str,
     replayed_orders: DataFrame | None = None,
     replayed_customers: DataFrame | None = None,
+    customer_day: str = "signup_date",
 ) -> QualityRun:
     """Corrupt a share of the rows, add planned faults, replay quarantined rows, keep a log.
 
     The three tables are written once to ``folder``, on storage all machines share, and the
     reports read them from there: none of them repeats the injection. ``orders`` and
     ``customers`` have the export's columns; replayed rows come from
-    :func:`oreflow.sources.days.replay_rows`.
+    :func:`oreflow.sources.days.replay_rows`. Customers are counted, and get faults, on the day that
+    ``customer_day`` holds before any fault; it may be a column of its own, ``_run_day`` for one.
     """
     spark, s = orders.sparkSession, settings
     days = day_range(spark, s.start, s.days)
     if s.drift_after is not None:
         orders = widen_from(orders, ["order_id"], "order_date", s.start, s.drift_after, seed=s.seed)
     orders = corrupt_orders(orders, ["order_id"], s.order_fault_rate, s.seed)
+    customers = customers.withColumn(RUN_DAY, F.col(customer_day).cast("string"))
     customers = corrupt_customers(customers, ["customer_id"], s.customer_fault_rate, s.seed)
-    plan = fault_plan(days, s.mode or "random", s.low, s.high, s.seed)
+    plan = fault_plan(days, s.mode or "random", s.low, s.high, s.seed, s.templates, s.schedule)
     if s.mode is None:
         plan = plan.limit(0)
-    # The longest day of a plan: a few entries, settled by the mode and never by the data.
-    most = plan.groupBy("date").count().agg({"count": "max"}).first()[0] or 1
-    orders, order_log = inject(orders, plan, "order", "order_id", "order_date", most, s.seed)
-    customers, customer_log = inject(
-        customers, plan, "customer", "customer_id", "signup_date", most, s.seed, {"start_date": s.start}
-    )
+    orders, order_log = inject(orders, plan, "order", "order_id", "order_date", s.seed)
+    customers, customer_log = inject(customers, plan, "customer", "customer_id", RUN_DAY, s.seed, {"start_date": s.start})
     log = order_log.unionByName(customer_log)
     for rows, kind, day in ((replayed_orders, "order", "order_date"), (replayed_customers, "customer", DAY)):
         if rows is not None:
             log = log.unionByName(replay_log(rows.drop(DAY) if day != DAY else rows, kind, day))
+    if replayed_customers is not None:
+        replayed_customers = replayed_customers.withColumn(RUN_DAY, F.col(DAY).cast("string"))
     tables = {"orders": replay(orders, replayed_orders), "customers": replay(customers, replayed_customers), "log": log}
     for name, table in tables.items():
         table.write.mode("overwrite").parquet(f"{folder}/{name}")

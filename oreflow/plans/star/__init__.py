@@ -4,7 +4,7 @@ The tables have their own columns, so each query first gives an operator the col
 on and then runs that operator, unchanged, over the whole table.
 """
 
-from oreflow.plans.star import cleaning, days, dimensions, faults, reports, storage  # noqa: F401
+from oreflow.plans.star import cleaning, days, dimensions, faults, flow, reports, storage  # noqa: F401
 from oreflow.plans.star.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

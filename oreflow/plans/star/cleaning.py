@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from oreflow.contracts import CUSTOMERS, EXPORT_CUSTOMERS, EXPORT_ORDERS, ORDERS, Contract, Field, Rule, at_least_zero, one_of
@@ -85,12 +87,101 @@ def validate_quarantine(spark, sf_dir):
 )
 def quarantine_reasons(spark, sf_dir):
     contracts = (STAR_ORDERS, STAR_CUSTOMERS, STAR_SUPPLIERS)
-    first, *rest = [bad_rows(table(spark, sf_dir, c.name), c).select("_quarantine_reason") for c in contracts]
+    first, *rest = [bad_rows(table(spark, sf_dir, c.name), c).select("_quarantine_reasons") for c in contracts]
     for more in rest:
         first = first.unionByName(more)
     return reason_counts(first)
 
 
+TEXT_ORDERS_SQL = """
+SELECT l_orderkey, l_linenumber, concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(CAST(l_shipdate AS DATE) AS VARCHAR), CAST(l_quantity AS INTEGER), l_returnflag) AS order_id,
+       CASE WHEN l_suppkey % 50 = 0 THEN NULL ELSE 'C' || l_suppkey END AS customer_id, CAST(l_partkey AS VARCHAR) AS product_id,
+       CASE WHEN l_partkey % 31 = 0 THEN '2024-13-01' WHEN l_partkey % 31 = 1 THEN strftime(l_shipdate, '%d/%m/%Y')
+            ELSE strftime(l_shipdate, '%Y-%m-%d') END AS order_date,
+       CASE l_linenumber WHEN 1 THEN CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) WHEN 2 THEN CAST(l_quantity AS VARCHAR)
+            WHEN 3 THEN '2.5' WHEN 4 THEN 'many' WHEN 5 THEN '0' WHEN 6 THEN '-1' END AS quantity,
+       CASE l_suppkey % 9 WHEN 0 THEN NULL WHEN 1 THEN '-0.5' WHEN 2 THEN 'free' ELSE '19.90' END AS unit_price,
+       CASE l_returnflag WHEN 'A' THEN 'Delivered' WHEN 'N' THEN 'shipped' ELSE 'refunded' END AS status
+FROM lineitem
+"""
+ORDER_REASONS_SQL = """
+concat_ws('; ', CASE WHEN customer_id IS NULL THEN 'customer_id: missing' END,
+    CASE WHEN order_date = '2024-13-01' OR order_date LIKE '%/%' THEN 'order_date: not an ISO date' END,
+    CASE WHEN quantity IS NULL THEN 'quantity: missing' WHEN quantity IN ('2.5', 'many') THEN 'quantity: not an integer'
+         WHEN CAST(quantity AS DOUBLE) <= 0 THEN 'quantity: must be > 0' END,
+    CASE unit_price WHEN '-0.5' THEN 'unit_price: must be >= 0' WHEN 'free' THEN 'unit_price: not a number' END,
+    CASE WHEN status = 'refunded' THEN 'status: not one of pending, shipped, delivered, cancelled, returned' END)
+"""
+
+
+def text_orders(spark, sf_dir):
+    """Line items as a landing file would hold them: text, with values of every good and bad kind."""
+    lines, part, nth = table(spark, sf_dir, "lineitem"), F.col("l_partkey") % 31, F.col("l_linenumber")
+    quantity = (
+        F.when(nth == 1, F.col("l_quantity").cast("int").cast("string"))
+        .when(nth == 2, F.col("l_quantity").cast("string"))
+        .when(nth == 3, "2.5")
+        .when(nth == 4, "many")
+        .when(nth == 5, "0")
+        .when(nth == 6, "-1")
+    )
+    price = F.when(F.col("l_suppkey") % 9 == 1, "-0.5").when(F.col("l_suppkey") % 9 == 2, "free").when(F.col("l_suppkey") % 9 > 2, "19.90")
+    day = F.when(part == 0, "2024-13-01").when(part == 1, F.date_format("l_shipdate", "dd/MM/yyyy")).otherwise(day_text("l_shipdate"))
+    status = F.when(F.col("l_returnflag") == "A", "Delivered").when(F.col("l_returnflag") == "N", "shipped").otherwise("refunded")
+    return lines.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", day_text("l_shipdate"), F.col("l_quantity").cast("int"), "l_returnflag").alias("order_id"),
+        F.when(F.col("l_suppkey") % 50 != 0, F.concat(F.lit("C"), "l_suppkey")).alias("customer_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        day.alias("order_date"),
+        quantity.alias("quantity"),
+        price.alias("unit_price"),
+        status.alias("status"),
+    )
+
+
+@query(
+    f"""SELECT order_id, CAST(nullif(reasons, '') AS VARCHAR) AS reasons,
+               CASE WHEN reasons = '' THEN CAST(CAST(quantity AS DOUBLE) AS BIGINT) END AS quantity,
+               CASE WHEN reasons = '' THEN CAST(unit_price AS DOUBLE) END AS unit_price
+        FROM (SELECT *, {ORDER_REASONS_SQL} AS reasons FROM ({TEXT_ORDERS_SQL}))"""
+)
+def validate_text_orders(spark, sf_dir):
+    """Orders as text: the good ones typed, the bad ones with every reason."""
+    rows = text_orders(spark, sf_dir)
+    good = good_rows(rows, ORDERS).select("order_id", F.lit(None).cast("string").alias("reasons"), "quantity", "unit_price")
+    bad = bad_rows(rows, ORDERS).select("order_id", F.col("_quarantine_reason").alias("reasons"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+_CUSTOMER_REASONS_SQL = """
+concat_ws('; ', CASE WHEN c_nationkey % 5 = 0 THEN 'last_name: missing' END,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'email: has no @' WHEN c_mktsegment = 'MACHINERY' THEN 'email: missing' END,
+    CASE WHEN c_nationkey % 5 = 1 THEN 'signup_date: not an ISO date' END)
+"""
+
+
+@query(
+    f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id, CAST(nullif({_CUSTOMER_REASONS_SQL}, '') AS VARCHAR) AS reasons FROM customer"""
+)
+def validate_text_customers(spark, sf_dir):
+    """Customers as text: names, e-mails and dates that are missing or cannot be read; a null tier is good."""
+    nation, segment = F.col("c_nationkey") % 5, F.col("c_mktsegment")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"),
+        F.lit("Al").alias("first_name"),
+        F.when(nation != 0, F.col("c_name")).alias("last_name"),
+        F.when(segment == "BUILDING", "nobody").when(segment != "MACHINERY", F.concat("c_custkey", F.lit("@x.example"))).alias("email"),
+        F.lit("").alias("city"),
+        F.lit("").alias("country"),
+        F.when(nation == 1, "soon").otherwise("2024-02-29").alias("signup_date"),
+        F.lit(None).cast("string").alias("tier"),
+    )
+    reasons = F.array_join(F.array_compact(F.array(*CUSTOMERS.errors(rows))), "; ")
+    return rows.select("customer_id", F.nullif(reasons, F.lit("")).alias("reasons"))
+
+
 @query(
     f"""SELECT status, count(*) FILTER (WHERE amount BETWEEN 0 AND 100000) AS within,
                count(*) FILTER (WHERE NOT amount BETWEEN 0 AND 100000) AS outside
@@ -260,15 +351,14 @@ def _fact(spark, sf_dir):
         FROM ({ORDER_LINES_SQL})"""
 )
 def stage_counts(spark, sf_dir):
-    lines = order_lines(spark, sf_dir).drop("_ord")
-    good = F.coalesce(*ORDERS.errors(lines)).isNull()
-    per_key = lines.groupBy("order_id").agg(F.count("*").alias("n"), F.count_if(good).alias("good"))
-    return per_key.agg(
-        F.sum("n").alias("ingested"),
-        F.sum(F.col("n") - F.col("good")).alias("quarantined"),
-        F.sum(F.greatest(F.col("good") - 1, F.lit(0))).alias("deduped"),
-        F.count_if(F.col("good") > 0).alias("written"),
-    )
+    """The counters of a silver stage, from the rows that its steps really gave."""
+    lines = order_lines(spark, sf_dir)
+    good = good_rows(lines, ORDERS)
+    counts = {"ingested": lines, "quarantined": bad_rows(lines, ORDERS), "good": good, "written": keep_last(good, ORDERS.key, ["_ord"])}
+    parts = [df.select(F.lit(name).alias("stage")) for name, df in counts.items()]
+    rows = reduce(lambda a, b: a.unionByName(b), parts)
+    found = rows.agg(*[F.count_if(F.col("stage") == name).alias(name) for name in counts])
+    return found.select("ingested", "quarantined", (F.col("good") - F.col("written")).alias("deduped"), "written")
 
 
 @query(

@@ -31,9 +31,11 @@ def _text(df):
 )
 def backfill_range(spark, sf_dir):
     """The last order day and the 365 days before it, with the orders of each."""
-    orders = table(spark, sf_dir, "orders").withColumn("date", F.col("o_orderdate").cast("date"))
-    wanted = days.days_before(orders, F.col("date"), 365)
-    counts = orders.groupBy("date").agg(F.count("*").alias("orders"))
+    orders = table(spark, sf_dir, "orders")
+    last = orders.agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
+    wanted = days.day_range(spark, days.backfill_days(last, 365)[0], 366).select(F.col("date").cast("date").alias("date"))
+    recent = days.within(orders, "o_orderdate", days.backfill_days(last, 365)[0], last)
+    counts = recent.groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(F.count("*").alias("orders"))
     joined = wanted.join(counts, "date", "left")
     return _text(joined.withColumn("orders", F.coalesce("orders", F.lit(0).cast("long"))))
 

@@ -51,7 +51,6 @@ def replay_files(spark, sf_dir):
         path,
         days,
         ["order_id", "status", "currency", "order_date"],
-        max_rows=None,
         names={"event_id": "order_id", "event_type": "status"},
     )
     return rows.drop(DAY)
@@ -123,3 +122,35 @@ def scd2_stored(spark, sf_dir):
     for day in ("2024-02-01", "2024-03-01"):
         history.write(scd2_merge(history.read_open(), moved, ["c_custkey"], ["c_mktsegment"], day))
     return history.read().groupBy("_current", "_eff_start", "_eff_end").agg(F.count("*").alias("rows"))
+
+
+@query(
+    """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS rows,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+       FROM orders GROUP BY 1"""
+)
+def export_two_days(spark, sf_dir):
+    """Orders exported half by half, then the first half once more: no month goes missing."""
+    path = shared_folder(spark, "export-twice")
+    orders = exported_orders(spark, sf_dir).withColumn("month", F.substring("order_date", 1, 7)).withColumn("promotion_code", F.when(F.col("product_id") == "1", "X"))
+    early = F.col("month") < "1995-07"
+    for half in (early, ~early, early):
+        write_orders_csv(orders.where(half), path, day="month")
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    return rows.groupBy("month").agg(F.count("*").alias("rows"), exact_sum(F.col("amount")).alias("amount"))
+
+
+@query(
+    """SELECT strftime(DATE '2024-01-01' + CAST(c_nationkey AS INTEGER), '%Y-%m-%d') AS day, count(*) AS rows, min(c_name) AS name
+       FROM customer GROUP BY 1"""
+)
+def export_customer_days(spark, sf_dir):
+    """Customers over many sign-up days as JSON, exported in two parts to one folder."""
+    path = shared_folder(spark, "export-json-days")
+    customers = exported_customers(spark, sf_dir).withColumn("signup_date", F.date_add(F.lit("2024-01-01").cast("date"), F.col("address.state").cast("int")).cast("string"))
+    late = F.col("signup_date") > "2024-01-10"
+    for part in (late, ~late):
+        write_json(customers.where(part), path, by="signup_date")
+    schema = ", ".join(f"{c} {EXPORT_CUSTOMERS.nested.get(c, 'string')}" for c in EXPORT_CUSTOMERS.columns)
+    rows = spark.read.schema(schema).json(path)
+    return rows.groupBy(F.col("signup_date").alias("day")).agg(F.count("*").alias("rows"), F.min("name").alias("name"))

@@ -1,31 +1,52 @@
-"""Text exports: orders as daily CSV, customers and the fault log as JSON."""
+"""Text exports: orders as daily CSV, customers and the fault log as JSON.
+
+An export by day replaces the days it has rows for and leaves all others as they are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oreflow import fs
+from oreflow.session import shared_folder
+
 
-def write_orders_csv(df: DataFrame, path: str, day: str = "order_date", optional: str = "promotion_code") -> None:
+def write_orders_csv(df: DataFrame, path: str, day: str = "order_date", optional: str = "promotion_code", keep_day: bool = True) -> None:
     """CSV with header, one ``date=<day>/`` folder per day, readable as a landing area.
 
     The optional column is written for the days that use it and for no others, so the header
-    widens from day to day as it would file by file.
+    widens from day to day as it would file by file. With it, rows are staged by day first: the
+    frame is evaluated once, and each of the two writes then reads its own days only. The two
+    have no day in common, so a job lost between them leaves whole days, old or new.
+    ``keep_day`` says whether the files hold the day column too.
     """
-    rows = df.withColumn("date", F.col(day))
-    parts = [rows]
-    if optional in df.columns:
-        used = rows.where(F.col(optional).isNotNull()).select("date").distinct()
-        parts = [rows.join(used, "date", "left_anti").drop(optional), rows.join(used, "date", "left_semi")]
-    for mode, part in zip(("overwrite", "append"), parts, strict=False):
-        ordered = [c for c in part.columns if c != "date"]
-        by_day = part.select(*ordered, "date").hint("rebalance", "date")
-        by_day.write.mode(mode).partitionBy("date").option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
+    rows = df.withColumn("date", F.col(day).cast("string"))
+    rows = rows if keep_day else rows.drop(day)
+    if optional not in df.columns:
+        _by_day(rows, path)
+        return
+    spark, staged = df.sparkSession, shared_folder(df.sparkSession, "export-stage")
+    rows.hint("rebalance", "date").write.partitionBy("date").parquet(staged)
+    stored = spark.read.schema(rows.schema).parquet(staged)
+    wide = [r["date"] for r in stored.where(F.col(optional).isNotNull()).select("date").distinct().collect()]  # folder names
+    used = F.coalesce(F.col("date").isin(wide), F.lit(False))
+    for part in (stored.where(~used).drop(optional), stored.where(used)):
+        _by_day(part, path)
+    fs.delete(spark, staged)
+
+
+def _by_day(rows: DataFrame, path: str) -> None:
+    ordered = [c for c in rows.columns if c != "date"]
+    writer = rows.select(*ordered, "date").hint("rebalance", "date").write.mode("overwrite").partitionBy("date")
+    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
 def write_json(df: DataFrame, path: str, by: str | None = None) -> None:
-    """JSON lines, by day when a day column is given."""
+    """JSON lines; by day when a day column is given, else the whole folder is replaced."""
     if by is None:
         df.write.mode("overwrite").json(path)
     else:
-        df.withColumn("date", F.col(by)).hint("rebalance", "date").write.mode("overwrite").partitionBy("date").json(path)
+        writer = df.withColumn("date", F.col(by)).hint("rebalance", "date").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("date").json(path)

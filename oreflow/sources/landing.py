@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreflow import fs
-from oreflow.contracts import CUSTOMERS, ORDERS
+from oreflow.contracts import CUSTOMERS, MALFORMED, ORDERS
 from oreflow.errors import IngestionError
 from oreflow.functions.parsing import blank_missing
 from oreflow.operators.drift import require_columns
@@ -40,17 +40,28 @@ def _first_existing(spark: SparkSession, paths: list[str], what: str) -> str:
     raise IngestionError(f"{what} not found: {paths[0]}")
 
 
-def read_orders(spark: SparkSession, landing: str, date: str, ingested_at: str) -> DataFrame:
+def read_orders(spark: SparkSession, landing: str, date: str, ingested_at: str, multi_line: bool | None = None) -> DataFrame:
     """One day's orders: ``orders_<date>.csv`` (file or folder of parts) or ``date=<date>/``.
 
     Columns are taken by the header's names. Only one header is read before the job runs; a part
-    file whose header differs from it fails the job instead of shifting its values.
+    file whose header differs from it fails the job instead of shifting its values. A row with more or
+    fewer fields than the header keeps its text in ``_malformed``, by which the contract refuses it.
+
+    Quoted line ends need ``multi_line``, with which a file is no longer split among tasks. None
+    looks first whether some line has an odd number of quotes, which takes a pass over the text.
     """
     path = _first_existing(spark, [f"{landing}/orders_{date}.csv", f"{landing}/date={date}"], "orders file")
-    raw = spark.read.options(header=True, escape='"', enforceSchema=False).csv(path)
-    require_columns(raw, ORDERS.columns, "orders")
+    if multi_line is None:
+        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+        multi_line = not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
+    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    header = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
+    reader = reader.options(enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
+    raw = reader.schema(schema).csv(path)
+    require_columns(raw.drop(MALFORMED), ORDERS.columns, "orders")
     rows = _with_ordinal(raw)
-    values = {c: blank_missing(F.col(f"`{c}`")) for c in raw.columns}
+    values = {c: blank_missing(F.col(f"`{c}`")) for c in header}
     rows = rows.withColumns(values)
     return with_lineage(rows, ingested_at, F.col("_source_file"), date)
 

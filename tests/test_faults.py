@@ -12,6 +12,14 @@ ORDER_SCHEMA = "order_id string, customer_id string, product_id string, order_da
 CUSTOMER_SCHEMA = "customer_id string, name string, email string, signup_date string, address struct<city:string>, phones array<string>"
 
 
+SCHEDULE = {
+    "2026-08-07": ("ORD_NEG_AMOUNT", "CUST_BAD_EMAIL"),
+    "2026-08-08": ("ORD_BAD_STATUS",),
+    "2026-08-09": ("ORD_ZERO_QTY", "CUST_MISSING_NAME", "ORD_DUPLICATE"),
+    "2026-08-10": ("CUST_FUTURE_SIGNUP",),
+}
+
+
 @pytest.fixture(scope="module")
 def orders(spark):
     data = [(f"O{n}", "C1", "P1", f"2024-01-0{1 + n % 2}", "5.00", "USD", "shipped", "1") for n in range(40)]
@@ -33,13 +41,16 @@ def test_plans(spark):
         ("2026-08-09", 1, "ORD_BAD_STATUS"),
         ("2026-08-10", 1, "CUST_BAD_EMAIL"),
     ]
-    scheduled = faults.fault_plan(four, "per_day").orderBy("date", "seq").collect()
-    assert [r.template_id for r in scheduled] == [t for d in faults.SCHEDULE.values() for t in d]
+    scheduled = faults.fault_plan(four, "per_day", schedule=SCHEDULE).orderBy("date", "seq").collect()
+    assert [r.template_id for r in scheduled] == [t for d in SCHEDULE.values() for t in d]
     assert {r.type for r in scheduled if r.template_id.startswith("CUST")} == {"customer"}
     drawn = faults.fault_plan(four, "random", 1, 3).groupBy("date").count().collect()
     assert len(drawn) == 4 and all(1 <= r["count"] <= 3 for r in drawn)
-    with pytest.raises(ValueError):
-        faults.fault_plan(four, "sometimes")
+    own = faults.fault_plan(four, "fixed", templates=["ORD_ZERO_QTY"]).collect()
+    assert [(r.date, r.template_id) for r in own] == [("2026-08-07", "ORD_ZERO_QTY")]
+    for mode in ("sometimes", "per_day"):
+        with pytest.raises(ValueError):
+            faults.fault_plan(four, mode)
 
 
 def plan_of(spark, template_ids, day="2024-01-01"):
@@ -49,7 +60,7 @@ def plan_of(spark, template_ids, day="2024-01-01"):
 
 def test_inject_orders(spark, orders):
     ids = [t for t in faults.TEMPLATES if t.startswith("ORD")]
-    all_rows, log = faults.inject(orders, plan_of(spark, ids), "order", "order_id", "order_date", 7)
+    all_rows, log = faults.inject(orders, plan_of(spark, ids), "order", "order_id", "order_date")
     assert all_rows.count() == 47
     added = all_rows.exceptAll(orders)
     assert added.count() == 6 + 1
@@ -69,16 +80,32 @@ def test_inject_orders(spark, orders):
 
 def test_inject_reuses_rows_of_a_short_day(spark, orders):
     two = orders.where("order_id in ('O0', 'O2')")
-    all_rows, log = faults.inject(two, plan_of(spark, ["ORD_ZERO_QTY"] * 5), "order", "order_id", "order_date", 5)
+    all_rows, log = faults.inject(two, plan_of(spark, ["ORD_ZERO_QTY"] * 5), "order", "order_id", "order_date")
     assert (all_rows.count(), log.count()) == (7, 5)
     assert all_rows.select("order_id").distinct().count() == 7
-    none, empty_log = faults.inject(two, plan_of(spark, ["ORD_ZERO_QTY"], "2024-01-09"), "order", "order_id", "order_date", 5)
-    assert (none.count(), empty_log.count()) == (2, 0)
+
+
+def test_inject_keeps_entries_of_a_day_without_rows(spark, orders):
+    plan = plan_of(spark, ["ORD_ZERO_QTY"] * 3, "2024-01-09").unionByName(plan_of(spark, ["ORD_NEG_AMOUNT"]))
+    two = orders.where("order_id in ('O0', 'O2')")
+    all_rows, log = faults.inject(two, plan, "order", "order_id", "order_date")
+    assert (all_rows.count(), log.count()) == (6, 4)
+    assert all_rows.where("order_date = '2024-01-09' AND quantity = '0'").count() == 3
+    none, unmet = faults.inject(two.limit(0), plan, "order", "order_id", "order_date")
+    assert none.count() == 0
+    assert [(r.template_id, r.payload) for r in unmet.orderBy("template_id").collect()] == [("ORD_NEG_AMOUNT", None)] + [("ORD_ZERO_QTY", None)] * 3
+
+
+def test_amounts_that_cannot_be_negated_stay(spark):
+    amounts = ["5.00", "-3", "+4.5", "NaN", "n/a", "1e20", None, "inf"]
+    orders = spark.createDataFrame([(str(k), a, "shipped", "1") for k, a in enumerate(amounts)], "order_id string, amount string, status string, quantity string")
+    got = orders.withColumn("amount", faults._negative_amount()).orderBy("order_id").collect()
+    assert [r.amount for r in got] == ["-5.00", "-3", "-4.5", "NaN", "n/a", "-1e20", None, "inf"]
 
 
 def test_inject_customers(spark, customers):
     ids = [t for t in faults.TEMPLATES if t.startswith("CUST")]
-    all_rows, log = faults.inject(customers, plan_of(spark, ids), "customer", "customer_id", "signup_date", 5, settings={"start_date": "2024-01-01"})
+    all_rows, log = faults.inject(customers, plan_of(spark, ids), "customer", "customer_id", "signup_date", settings={"start_date": "2024-01-01"})
     assert all_rows.count() == 11
     payload = F.from_json("payload", CUSTOMER_SCHEMA)
     entries = {r.template_id: r.p for r in log.select("template_id", payload.alias("p")).collect()}
@@ -101,7 +128,7 @@ def test_organic_corruption(spark):
 
 def test_log_reports(spark, orders):
     plan = plan_of(spark, ["ORD_ZERO_QTY", "ORD_ZERO_QTY", "ORD_BAD_STATUS"])
-    log = faults.inject(orders, plan, "order", "order_id", "order_date", 3)[1]
+    log = faults.inject(orders, plan, "order", "order_id", "order_date")[1]
     log = log.unionByName(faults.replay_log(orders.limit(2), "order", "order_date"))
     assert [tuple(r) for r in reports.events_by_template(log).collect()] == [("ORD_ZERO_QTY", 2), ("ORD_BAD_STATUS", 1)]
     assert reports.events_by_source(log).first().asDict() == {"events": 5, "template_events": 3, "parquet_events": 2}

@@ -9,11 +9,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from oreflow import fs
+from oreflow.contracts import ORDERS
 from oreflow.errors import IngestionError
+from oreflow.functions.money import exact_mean, exact_sum
 from oreflow.operators.dedup import keep_last
+from oreflow.operators.validate import bad_rows, good_rows
 from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sinks.partitions import replace_day, replace_days
-from oreflow.sources.days import available_days, read_days, replay, replay_rows
+from oreflow.sources.days import available_days, read_days, replay, replay_rows, unread_files
 from oreflow.sources.landing import ORDINAL, read_customers, read_orders
 from oreflow.sources.table import newer_than, read_products, read_sqlite
 
@@ -157,8 +160,12 @@ def quarantine(spark, tmp_path):
 
 def test_read_days(spark, quarantine):
     assert available_days(spark, quarantine) == ["2026-08-07", "2026-08-08", "2026-08-20"]
-    assert read_days(spark, quarantine, ["2026-08-07", "2026-08-08"]).count() == 12
-    first = read_days(spark, quarantine, ["2026-08-07", "2026-08-08"], max_rows=5)
+    both = ["2026-08-07", "2026-08-08"]
+    with pytest.raises(Exception, match="CANNOT_READ_FILE_FOOTER|not a Parquet file"):
+        read_days(spark, quarantine, both).count()
+    assert read_days(spark, quarantine, both, skip_unreadable=True).count() == 12
+    assert [r.path.split("/")[-1] for r in unread_files(spark, quarantine, both).collect()] == ["part-0002.parquet"]
+    first = read_days(spark, quarantine, both, max_rows=5, skip_unreadable=True)
     assert sorted(r.id for r in first.where("_day = '2026-08-07'").collect()) == ["O0", "O1", "O2", "O3", "O4"]
     assert first.where("_day = '2026-08-08'").count() == 2
     assert read_days(spark, quarantine, []) is None
@@ -168,7 +175,9 @@ def test_read_days(spark, quarantine):
 def test_replay(spark, quarantine):
     run = ["2026-08-07", "2026-08-08"]
     shape = ["order_id", "order_date", "amount", "currency"]
-    rows = replay_rows(spark, quarantine, run, shape, names={"id": "order_id"}, max_rows=4)
+    every = replay_rows(spark, quarantine, run, shape, names={"id": "order_id"}, skip_unreadable=True)
+    assert every.count() == 12
+    rows = replay_rows(spark, quarantine, run, shape, names={"id": "order_id"}, max_rows=4, skip_unreadable=True)
     got = sorted(tuple(r) for r in rows.select(*shape).collect())
     assert got[0] == ("O0", "2026-08-07", "0.0", "") and len(got) == 6
     assert {r.order_date for r in rows.collect()} == set(run)
@@ -178,6 +187,59 @@ def test_replay(spark, quarantine):
     assert replay_rows(spark, quarantine, ["2030-01-01"], shape) is None
 
 
+def test_nested_files_have_their_day(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "q/dt=2026-08-07/run=1/deep"))
+    spark.range(2).write.parquet(str(tmp_path / "q/dt=2026-08-08"))
+    got = read_days(spark, str(tmp_path / "q"), ["2026-08-07", "2026-08-08"]).groupBy("_day").count().collect()
+    assert {tuple(r) for r in got} == {("2026-08-07", 3), ("2026-08-08", 2)}
+
+
+def test_exports_leave_other_days_alone(spark, tmp_path):
+    schema = "order_id string, order_date string, promotion_code string"
+    first = spark.createDataFrame([("O1", "2025-01-01", None), ("O2", "2025-01-02", "X")], schema)
+    second = spark.createDataFrame([("O3", "2025-01-02", None), ("O4", "2025-01-03", "Y")], schema)
+    for rows in (first, second):
+        write_orders_csv(rows, str(tmp_path / "csv"))
+        write_json(rows, str(tmp_path / "json"), by="order_date")
+    csv = {d.name: "".join(f.read_text() for f in d.glob("*.csv")) for d in (tmp_path / "csv").glob("date=*")}
+    assert csv == {
+        "date=2025-01-01": "order_id,order_date\nO1,2025-01-01\n",
+        "date=2025-01-02": "order_id,order_date\nO3,2025-01-02\n",
+        "date=2025-01-03": "order_id,order_date,promotion_code\nO4,2025-01-03,Y\n",
+    }
+    assert {r.order_id for r in spark.read.json(str(tmp_path / "json")).collect()} == {"O1", "O3", "O4"}
+
+
+
+def test_rows_that_do_not_fit_the_header_are_refused(spark, tmp_path):
+    good = "O1,C,P,2025-01-01,1,2.0,shipped\n"
+    (tmp_path / "orders_2025-01-01.csv").write_text(HEADER + good + "O2,C,P,2025-01-01,1,2.0,shipped,extra\nO3,C,P\n")
+    rows = read_orders(spark, str(tmp_path), "2025-01-01", "now")
+    bad = {r.order_id: r for r in bad_rows(rows, ORDERS).collect()}
+    assert set(bad) == {"O2", "O3"} and bad["O2"]._malformed.endswith("extra")
+    assert bad["O2"]._quarantine_reasons == ["row: more or fewer fields than the header"]
+    assert [r.order_id for r in good_rows(rows, ORDERS).collect()] == ["O1"]
+
+
+def test_quoted_line_ends(spark, tmp_path):
+    (tmp_path / "orders_2025-01-01.csv").write_text(HEADER + 'O1,"C\nD",P,2025-01-01,1,2.0,shipped\nO2,C,P,2025-01-01,1,2.0,shipped\n')
+    rows = read_orders(spark, str(tmp_path), "2025-01-01", "now")
+    assert {(r.order_id, r.customer_id) for r in good_rows(rows, ORDERS).collect()} == {("O1", "C\nD"), ("O2", "C")}
+    split = read_orders(spark, str(tmp_path), "2025-01-01", "now", multi_line=False)
+    assert good_rows(split, ORDERS).count() == 1 and bad_rows(split, ORDERS).count() == 2
+
+
+def test_means_of_odd_amounts(spark):
+    def figures(values):
+        row = spark.createDataFrame([(v,) for v in values], "x double").agg(exact_sum(F.col("x")), exact_mean(F.col("x"))).first()
+        return tuple(row)
+
+    assert figures([10.0, 20.0, float("nan"), float("inf"), None]) == (30.0, 15.0)
+    assert figures([1e17, 2.0]) == (1e17 + 2, 5e16 + 1)
+    assert figures([0.004, 0.004])[0] == 0.008 and figures([1e300, 1.0])[0] == 1e300
+    assert figures([float("nan"), None]) == (None, None)
+
+
 def test_csv_header_widens_by_day(spark, tmp_path):
     data = [("O1", "2025-01-01", "1", None), ("O2", "2025-01-02", "2", "SAVE10"), ("O3", "2025-01-02", "", None)]
     df = spark.createDataFrame(data, "order_id string, order_date string, quantity string, promotion_code string").coalesce(1)
