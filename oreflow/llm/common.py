@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
+from types import ModuleType
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +58,14 @@ class Store:
         fs.delete(self.spark, f"{self.base}/{name}")
 
 
+def per_process(name: str, make: Callable[[], object]) -> object:
+    """An object that a Python worker makes once and keeps over the tasks it runs."""
+    kept = sys.modules.setdefault("oreflow_per_process", ModuleType("oreflow_per_process"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> bool:
     """Does the frame, counted first, fit the broadcast bound? Count only stored or tiny frames."""
     return df.limit(bound // row_bytes + 1).count() * row_bytes <= bound

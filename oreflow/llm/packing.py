@@ -10,6 +10,7 @@ are interchangeable: Spark numbers them within salted groups and each finds its
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -19,14 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, row_key
+from oreflow.llm.common import Store, per_process, row_key
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces numbered in one group.
 GROUP_ROWS = 50_000
-#: Encoded chunks one Python task remembers; beyond it starts anew.
+#: Encoded chunks a Python worker remembers; beyond it starts anew.
 REMEMBERED = 400_000
+#: Letters, and ASCII signs behind them.
+_WORD_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
 
 def _byte_letters() -> dict[int, int]:
@@ -40,24 +43,41 @@ class _Chunks(dict):
     """Chunk of text to its ids, little-endian 32-bit. A chunk stands between single spaces; ``lead`` is the space before it.
 
     The vocabulary's splitting rule never joins a letter to a space that follows it, so between
-    two characters that aren't space such chunks are encoded on their own.
+    two characters that aren't space such chunks are encoded on their own. Nor does it join a word
+    to the signs behind it, or either to a line end, so chunks are made of known parts where they can be.
     """
 
-    def __init__(self, tokenizer, lead: str):
+    def __init__(self, tokenizer, lead: str, first: _Chunks | None = None):
         super().__init__()
         self.lead, self.split, self.merge = lead, tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-        self.letters = _byte_letters()
+        self.letters, self.first, self.signs = _byte_letters(), self if first is None else first, {}
+        self.line = self._merged(["\u010a"])
+
+    def _merged(self, parts: list[str]) -> bytes:
+        return array("I", [t.id for p in parts for t in self.merge(p)]).tobytes()
+
+    def _made(self, chunk: str) -> bytes:
+        if chunk.isalpha():
+            return self._merged([(self.lead + chunk).encode().decode("latin-1").translate(self.letters)])
+        if "\n" in chunk:
+            before, after = chunk.split("\n", 1)
+            if not before[-1].isspace() and not after[0].isspace():
+                return self[before] + self.line + self.first[after]
+        elif (found := _WORD_SIGNS.fullmatch(chunk)) and found[1].isalpha():
+            signs = self.signs.get(found[2])
+            if signs is None:
+                signs = self.signs[found[2]] = self._merged([p for p, _ in self.split(found[2])])
+            return self[found[1]] + signs
+        return self._merged([p for p, _ in self.split(self.lead + chunk)])
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
             raise LookupError(chunk)
-        if chunk.isalpha():
-            parts = [(self.lead + chunk).encode().decode("latin-1").translate(self.letters)]
-        else:
-            parts = [p for p, _ in self.split(self.lead + chunk)]
+        ids = self._made(chunk)
         if len(self) >= REMEMBERED:
             self.clear()
-        self[chunk] = ids = array("I", [t.id for p in parts for t in self.merge(p)]).tobytes()
+            self.signs.clear()
+        self[chunk] = ids
         return ids
 
 
@@ -68,7 +88,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.first, self.rest = _Chunks(self.tokenizer, ""), _Chunks(self.tokenizer, " ")
+        self.first = _Chunks(self.tokenizer, "")
+        self.rest = _Chunks(self.tokenizer, " ", self.first)
 
     def __call__(self, text: str) -> bytes:
         if not text:
@@ -87,7 +108,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = Encoder(tokenizer), array("I", [END_ID]).tobytes()
+        encode = per_process(f"encoder:{tokenizer}", lambda: Encoder(tokenizer))
+        end = array("I", [END_ID]).tobytes()
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
             for k, text in enumerate(batch.column("text")):
