@@ -63,6 +63,9 @@ def scd2_merge(
     equal hash            old row stays, untracked changes are not taken
     different hash        old row closes on ``effective_date``, new row opens
     ====================  =================================================
+
+    ``effective_date`` must not lie before the start of a row that it closes: merges follow the order of
+    time. A row that would end before it starts is closed on its own start, an interval of no length.
     """
     opened = scd2_open(incoming, tracked, effective_date)
     types = {f.name: f.dataType for f in opened.schema.fields} | {f.name: f.dataType for f in current.schema.fields}
@@ -72,7 +75,7 @@ def scd2_merge(
         have = set(df.columns)
         return F.struct(*[(F.col(f"`{c}`") if c in have else F.lit(None)).cast(types[c]).alias(c) for c in names])
 
-    closing = {"_eff_end": F.lit(effective_date), "_current": F.lit(False)}
+    closing = {"_eff_end": F.greatest(F.lit(effective_date), F.col("_old._eff_start").cast("string")), "_current": F.lit(False)}
     old = current.select(*key, packed(current).alias("_old"))
     new = opened.select(*key, packed(opened).alias("_new"))
     pair = old.join(new, list(key), "full_outer")

@@ -161,6 +161,7 @@ class DailyRun:
         return self.layout.snapshot(self.spark, self.layout.silver, name)
 
 
+# Names of the stages, and below the keys of a run's record.
 STAGES = (
     "ingest_orders",
     "ingest_customers",

@@ -213,3 +213,10 @@ def test_price_changes(spark):
 def test_domains(spark):
     df = spark.createDataFrame([("a@x.org",), ("b@x.org",), ("none",), (None,)], "email string")
     assert [tuple(r) for r in reports.domain_counts(df).collect()] == [("x.org", 2), ("invalid", 1)]
+
+
+def test_a_version_never_ends_before_it_starts(spark):
+    first = scd2_open(spark.createDataFrame([("C1", "Oslo")], "customer_id string, city string"), ["city"], "2024-03-01")
+    moved = spark.createDataFrame([("C1", "Rome")], "customer_id string, city string")
+    rows = scd2_merge(first, moved, ["customer_id"], ["city"], "2024-02-01").orderBy("_current").collect()
+    assert [(r.city, r._eff_start, r._eff_end) for r in rows][0] == ("Oslo", "2024-03-01", "2024-03-01")

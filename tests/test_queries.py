@@ -44,3 +44,8 @@ def test_plan_has_no_pairing_and_no_python(spark, name):
     plan = spark_entry.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for unwanted in ("CartesianProduct", "NestedLoopJoin", "Python", "InPandas", "BatchEvalPython"):
         assert unwanted not in plan
+
+
+def test_backfill_prunes_by_day(spark):
+    plan = spark_entry.queries()["backfill_range"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and plan.count("FileScan") == 1

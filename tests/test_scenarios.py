@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import pytest
-from conftest import CUSTOMER, ORDER_HEADER, PRODUCT
+from conftest import CUSTOMER, PRODUCT
 
+from oreflow.contracts import ORDERS
 from oreflow.plans.runner import backfill, run_one_date
 from oreflow.plans.state import RunState
 from oreflow.sinks.snapshots import Snapshot
 
 DATE = "2025-11-07"
+ORDER_HEADER = ORDERS.columns
 
 
 def order(number: int, date: str = DATE, quantity: str = "2", price: str = "12.40", status: str = "shipped") -> list[str]:
