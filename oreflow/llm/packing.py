@@ -60,9 +60,9 @@ class _Chunks(dict):
         if chunk.isalpha():
             return self._merged([(self.lead + chunk).encode().decode("latin-1").translate(self.letters)])
         if "\n" in chunk:
-            before, after = chunk.split("\n", 1)
-            if not before[-1].isspace() and not after[0].isspace():
-                return self[before] + self.line + self.first[after]
+            head, *tail = lines = chunk.split("\n")
+            if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
+                return self.line.join([self[head], *map(self.first.__getitem__, tail)])
         elif (found := _WORD_SIGNS.fullmatch(chunk)) and found[1].isalpha():
             signs = self.signs.get(found[2])
             if signs is None:

@@ -25,6 +25,17 @@ def test_encoder_equals_tokenizer():
         assert np.frombuffer(mine(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\n\n", "\n\t"])
+def test_lines_without_spaces(gap):
+    plain, mine = Tokenizer.from_file(PATH), Encoder(PATH)
+    draw = random.Random(3)
+    lines = [draw.choice(["red", "Fox,", "12", "a,b;c", "été", "it's"]) + str(k % 7) * (k % 3) for k in range(5000)]
+    for text in ["\n".join(lines), "lead " + "\n".join(lines) + " trail", "\n".join(lines[:2500]) + gap + "\n".join(lines[2500:])]:
+        assert np.frombuffer(mine(text), dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    # Whole texts, lines and words are remembered, no ends of texts.
+    assert len(mine.first) + len(mine.rest) < 100
+
+
 def test_fullest_is_the_best_subset():
     draw = random.Random(2)
     for _ in range(60):
