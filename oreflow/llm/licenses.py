@@ -1,16 +1,20 @@
 """License scans by conditional compression.
 
-A text is cut into blocks around lines that speak of licensing. A block is compressed on its own and
-once more with each template as the compressor's raw dictionary: a template that holds the block's
-wording makes it much smaller. Templates are ranked by that reduction, and the best ones are then
-compared word by word. The words that differ, inside the part of the block that the template
-covers, decide: few enough confirm the license, none means the exact wording.
+Notices are sought around each wording that speaks of licensing: every template that could be there, by
+the number of its words in a window of its own length on both sides, is compared word by word. The words
+that differ, inside the part that the template covers, decide: few enough confirm the license, none
+means the exact wording. A text's lines and their lengths don't matter, and one place can hold several notices.
+A notice is compressed on its own and once more with the template as the compressor's raw dictionary: a
+template that holds its wording makes it much smaller. Blocks of lines without a confirmed notice are
+ranked by that reduction over all templates, and the nearest wording is told with its differences.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -69,13 +73,16 @@ LINE_CHARS, BLOCK_CHARS = 1_000, 8_000
 #: Lines without a sign that may stand between two that have one, in one block.
 GAP = 2
 LEVEL = 19
-#: Templates compared by words, from the largest reduction on, and the reduction they need.
-COMPARED, LEAST_REDUCTION = 3, 0.15
+#: Reduction of a block without a confirmed notice that makes its nearest template a finding.
+LEAST_REDUCTION = 0.15
 #: Share of a template's words that may be missing or changed, and of words added between.
 TOLERANCE = 0.15
 #: Distinct blocks a task remembers the answer for.
 REMEMBERED = 20_000
 _WORD = re.compile(r"[^\W_]+(?:[.\-/][^\W_]+)*")
+#: Signs in words joined by spaces, and in lower-cased text, over line ends and punctuation.
+_SIGN = re.compile("|".join(map(re.escape, SIGNS)))
+_SIGN_IN_TEXT = re.compile("|".join(r"[\W_]+".join(map(re.escape, s.split())) for s in SIGNS))
 
 
 @dataclass(frozen=True)
@@ -134,6 +141,7 @@ class Scanner:
 
     def __init__(self, templates: dict[str, str]):
         self.words = {k: words(t) for k, t in templates.items()}
+        self.counts = {k: Counter(own) for k, own in self.words.items()}
         self.plain = self._compressor(None)
         self.by_template = {}
         for k, own in self.words.items():
@@ -152,20 +160,59 @@ class Scanner:
         sizes = {k: 1 - len(c.compress(data)) / alone for k, c in self.by_template.items()}
         return sorted(sizes.items(), key=lambda x: (-x[1], x[0]))
 
-    def compare(self, template: str, own: list[str]) -> tuple[bool, tuple[str, ...], tuple[str, ...]]:
-        """(near enough, template words not found, words between found ones that it lacks)."""
+    def aligned(self, template: str, own: list[str]) -> tuple[bool, tuple[str, ...], tuple[str, ...], int, int]:
+        """(near enough, template words not found, words between found ones that it lacks, first and last + 1 of the words covered)."""
         wanted = self.words[template]
         matches = [m for m in SequenceMatcher(None, wanted, own, autojunk=False).get_matching_blocks() if m.size]
         if not matches:
-            return False, tuple(wanted), ()
-        missing, added, i, j = [], [], 0, matches[0].b
-        for m in matches:
+            return False, tuple(wanted), (), 0, 0
+        limit, best = TOLERANCE * len(wanted), None
+        for x in range(len(matches)):  # words far from the rest that match by chance are left out
+            found = 0
+            for y in range(x, len(matches)):
+                found += matches[y].size
+                missing, added = len(wanted) - found, matches[y].b + matches[y].size - matches[x].b - found
+                cost = (missing > limit or added > limit, missing + added, missing, x, y)
+                best = cost if best is None else min(best, cost)
+        far, _, _, x, y = best
+        first, last = matches[x], matches[y]
+        missing, added, i, j = [], [], 0, first.b
+        for m in matches[x : y + 1]:
             missing += wanted[i : m.a]
             added += own[j : m.b]
             i, j = m.a + m.size, m.b + m.size
-        missing += wanted[i:]
-        limit = TOLERANCE * len(wanted)
-        return len(missing) <= limit and len(added) <= limit, tuple(missing), tuple(added)
+        return not far, tuple(missing + wanted[i:]), tuple(added), first.b, last.b + last.size
+
+    def compare(self, template: str, own: list[str]) -> tuple[bool, tuple[str, ...], tuple[str, ...]]:
+        return self.aligned(template, own)[:3]
+
+    def notices(self, own: list[str]) -> list[tuple[int, int, Finding]]:
+        """Every confirmed notice among the words, with its first and last + 1 word, but those inside a longer one."""
+        starts, at = [], 0
+        for w in own:
+            starts.append(at)
+            at += len(w) + 1
+        signs = sorted({bisect_right(starts, m.start()) - 1 for m in _SIGN.finditer(" ".join(own))})
+        met = []
+        for template, wanted in self.words.items():
+            reach, least, end = int((1 + TOLERANCE) * len(wanted)) + 1, len(wanted) * (1 - TOLERANCE), 0
+            for p in signs:
+                if p < end:
+                    continue
+                low = max(end, p - reach)
+                window = own[low : p + reach + 1]
+                if (Counter(window) & self.counts[template]).total() < least:
+                    continue
+                near, missing, added, x, y = self.aligned(template, window)
+                if near:
+                    met.append((low + x, low + y, template, missing, added))
+                    end = low + y
+        kept = []
+        for x, y, template, missing, added in sorted(met, key=lambda n: (n[0] - n[1], len(n[3]) + len(n[4]))):
+            if not any(a <= x and y <= b for a, b, _ in kept):
+                part = own[x:y]
+                kept.append((x, y, Finding(template, dict(self.ranked(part))[template], True, missing, added)))
+        return sorted(kept, key=lambda n: n[:2])
 
     def __call__(self, block: str) -> Finding | None:
         """The confirmed template with fewest differing words, else the one that ranks first, else None."""
@@ -178,13 +225,20 @@ class Scanner:
         return self.known[key]
 
     def _find(self, own: list[str]) -> Finding | None:
-        found = []
-        for template, reduction in self.ranked(own)[:COMPARED]:
-            if reduction >= LEAST_REDUCTION:
-                found.append(Finding(template, reduction, *self.compare(template, own)))
         # The longest of equally good wordings: a notice's short form also stands in the long one.
         order = lambda f: (not f.confirmed, len(f.missing) + len(f.added), -len(self.words[f.template]), -f.reduction)
-        return min(found, key=order) if found else None
+        found = [f for _, _, f in self.notices(own)]
+        return min(found or [Finding(k, r, *self.compare(k, own)) for k, r in self.ranked(own) if r >= LEAST_REDUCTION], key=order, default=None)
+
+    def document(self, text: str) -> tuple[int, list[tuple[int, int, Finding]]]:
+        """Number of blocks, and findings by place: confirmed notices, and the nearest template of each block that meets none."""
+        if not _SIGN_IN_TEXT.search(text.lower()):
+            return 0, []
+        places = list(_WORD.finditer(text))
+        met = [(places[x].start(), places[y - 1].end(), f) for x, y, f in self.notices([m[0].lower() for m in places])]
+        spans = blocks(text)
+        other = [(a, b, f) for a, b in spans if not any(x < b and a < y for x, y, _ in met) and (f := self(text[a:b]))]
+        return len(spans), sorted(met + other, key=lambda n: n[:2])
 
 
 SCHEMA = (
@@ -196,13 +250,13 @@ SCHEMA = (
 def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """A row for each document with what its blocks say.
 
-    Null and empty texts have no block. ``license`` is the template of the best confirmed block, the
+    Null and empty texts have no block. ``license`` is the template of the best confirmed notice, the
     first one of equals, or null. Differences are JSON: the template's words that are missing and words
     that stand between its words. Repeated rows are scanned each; a null id is handed through; other
     columns are ignored; an empty table gives no rows.
 
     Returns doc_id, n_blocks, license, n_confirmed, findings (start, end, template, reduction, confirmed,
-    exact, differences of each block that some template makes smaller).
+    exact, differences of each confirmed notice, and of each block without one that some template makes smaller).
     """
     known = dict(TEMPLATES if templates is None else templates)
 
@@ -213,11 +267,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
             counts, licenses, confirmed, findings = [], [], [], []
             for text in batch.column("text"):
                 text = text.as_py() or ""
-                spans = blocks(text)
-                met = [(a, b, f) for a, b in spans if (f := scanner(text[a:b]))]
+                n_blocks, met = scanner.document(text)
                 good = [f for _, _, f in met if f.confirmed]
                 best = min(good, key=lambda f: len(f.missing) + len(f.added), default=None)
-                counts.append(len(spans))
+                counts.append(n_blocks)
                 licenses.append(best.template if best else None)
                 confirmed.append(len(good))
                 findings.append([

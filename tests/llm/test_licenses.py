@@ -52,3 +52,12 @@ def test_scan(spark):
     assert json.loads(got[8].findings[0].differences) == {"missing": ["2.0"], "added": ["2.1"]} or got[8].findings[0].confirmed
     assert got[9].license is None
     assert scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+@pytest.mark.parametrize("before", [100, 200, 900, 5_000])
+@pytest.mark.parametrize("template", sorted(TEMPLATES))
+def test_exact_notice_inside_a_long_line(template, before):
+    prose = ("The river rises in the hills and the people of the valley know its use, free for all who ask. " * 60)[:before]
+    text = prose + " " + TEMPLATES[template] + " " + prose
+    found = [(f.template, f.exact) for _, _, f in Scanner(TEMPLATES).document(text)[1] if f.confirmed]
+    assert found == [(template, True)]
