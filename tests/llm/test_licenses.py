@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import re
+import textwrap
 
 import pytest
 import zstandard
@@ -61,3 +63,14 @@ def test_exact_notice_inside_a_long_line(template, before):
     text = prose + " " + TEMPLATES[template] + " " + prose
     found = [(f.template, f.exact) for _, _, f in Scanner(TEMPLATES).document(text)[1] if f.confirmed]
     assert found == [(template, True)]
+
+
+@pytest.mark.parametrize("template", ["Apache-2.0 header", "BSD-3-Clause", "GPL-3.0 header", "ISC", "MIT text", "MPL-2.0"])
+@pytest.mark.parametrize("lead", ["", "# ", " * "])
+def test_wrapped_notices(template, lead):
+    # A paragraph for each sentence, lines of 72 characters, as licence files have them.
+    parts = [textwrap.fill(p, 72 - len(lead)) for p in re.split(r"(?<=[.:]) (?=[A-Z])", TEMPLATES[template])]
+    notice = "\n".join(lead + line for line in "\n\n".join(parts).split("\n"))
+    text = "Copyright (c) 2020 Somebody\n\n" + notice + "\n\n" + "THE SOFTWARE IS PROVIDED AS IT STANDS.\n" + PROSE
+    (a, b, found), = [x for x in Scanner(TEMPLATES).document(text)[1] if x[2].confirmed]
+    assert found.template == template and found.exact and words(text[a:b]) == words(TEMPLATES[template])
