@@ -74,3 +74,12 @@ def test_wrapped_notices(template, lead):
     text = "Copyright (c) 2020 Somebody\n\n" + notice + "\n\n" + "THE SOFTWARE IS PROVIDED AS IT STANDS.\n" + PROSE
     (a, b, found), = [x for x in Scanner(TEMPLATES).document(text)[1] if x[2].confirmed]
     assert found.template == template and found.exact and words(text[a:b]) == words(TEMPLATES[template])
+
+
+def test_every_notice_of_a_place(spark):
+    short = ["Released under the MIT License.", "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under the Apache License, Version 2.0.", TEMPLATES["ISC"]]
+    rows = [(1, "\n".join(short[:2])), (2, PROSE + " ".join(short) + " " + PROSE), (3, TEMPLATES["Apache-2.0 header"]), (4, short[0] + " " + short[0])]
+    got = {r.doc_id: r for r in scan(spark.createDataFrame([(i, t, "l", "f") for i, t in rows], DOCS)).collect()}
+    told = {k: [f.template for f in r.findings if f.exact] for k, r in got.items()}
+    assert told == {1: ["MIT", "CC-BY-NC-4.0"], 2: ["MIT", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "Apache-2.0", "ISC"], 3: ["Apache-2.0 header"], 4: ["MIT", "MIT"]}
+    assert [got[k].n_confirmed for k in (1, 2, 3, 4)] == [2, 5, 1, 2]
