@@ -204,6 +204,11 @@ class Scanner:
                 if (Counter(window) & self.counts[template]).total() < least:
                     continue
                 near, missing, added, x, y = self.aligned(template, window)
+                if near and missing:  # the window may end within the notice
+                    wide = max(end, low + x - len(wanted))
+                    again = self.aligned(template, own[wide : low + y + len(wanted)])
+                    if again[0] and len(again[1]) + len(again[2]) < len(missing) + len(added):
+                        low, (_, missing, added, x, y) = wide, again
                 if near:
                     met.append((low + x, low + y, template, missing, added))
                     end = low + y
