@@ -15,6 +15,7 @@ from oreflow.llm.langid import identify
 from oreflow.llm.licenses import scan
 from oreflow.llm.lm import score_documents
 from oreflow.llm.packing import pack
+from oreflow.llm.resample import resample
 from oreflow.llm.simhash import near_duplicates
 from oreflow.llm.substrings import remove_repeats
 from oreflow.llm.toxicity import toxicity
@@ -139,3 +140,43 @@ def op3_substring_dedup(spark, sf_dir):
 @query()
 def op1_license_scan(spark, sf_dir):
     return scan(table(spark, sf_dir, "documents"))
+
+
+# crc32 byte by byte over its table of 256 remainders, once for each distinct feature.
+OP13_SQL = rf"""
+WITH RECURSIVE bits AS (
+    SELECT CAST(range AS BIGINT) AS i, CAST(range AS BIGINT) AS c, 0 AS k FROM range(256)
+    UNION ALL SELECT i, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), k + 1 FROM bits WHERE k < 8),
+remainders AS (SELECT list(c ORDER BY i) AS r FROM bits WHERE k = 8),
+docs AS (SELECT doc_id, coalesce(regexp_extract_all({LOWER_SQL.format(text="text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+items AS (SELECT coalesce(regexp_extract_all({LOWER_SQL.format(text="text")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM benchmark),
+doc_features AS (
+    SELECT doc_id, array_to_string(w[s:s + k - 1], ' ') AS f
+    FROM docs, (SELECT unnest([1, 2, 3]) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS s)),
+item_features AS (
+    SELECT array_to_string(w[s:s + k - 1], ' ') AS f
+    FROM items, (SELECT unnest([1, 2, 3]) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS s)),
+hashed AS (
+    SELECT f, xor(list_reduce(
+        list_prepend(4294967295, list_transform(range(0, strlen(f)), lambda j: CAST('0x' || substr(hex(encode(f)), CAST(2 * j + 1 AS BIGINT), 2) AS BIGINT))),
+        lambda c, b: xor(c >> 8, r[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT f FROM doc_features UNION SELECT f FROM item_features), remainders),
+s AS (SELECT bucket, count(*) AS n FROM doc_features JOIN hashed USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM item_features JOIN hashed USING (f) GROUP BY bucket),
+totals AS (SELECT (SELECT count(*) FROM doc_features) AS ss, (SELECT count(*) FROM item_features) AS tt),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln(CAST(coalesce(t.n, 0) + 1 AS DOUBLE) * CAST(ss + 10000 AS DOUBLE) / (CAST(s.n + 1 AS DOUBLE) * CAST(tt + 10000 AS DOUBLE)))) AS BIGINT) AS gain
+    FROM s LEFT JOIN t USING (bucket), totals),
+sums AS (SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight FROM doc_features JOIN hashed USING (f) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, len(w) >= 20 AS able, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || doc_id), 1, 8) AS BIGINT) + 0.5) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score
+    FROM docs LEFT JOIN sums USING (doc_id)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, 5 * count(*) FILTER (able) OVER () // 100 AS drawn FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= drawn THEN place END AS rank FROM placed
+"""
+
+
+@query(OP13_SQL)
+def op13_target_resampling(spark, sf_dir):
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
