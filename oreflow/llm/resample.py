@@ -65,9 +65,9 @@ def features(texts: list[bytes], buckets: int = BUCKETS, longest: int = LONGEST)
         for n in range(1, longest + 1):
             if n > 1:  # the checksum goes on from that of the run without its last word
                 sums = list(map(crc32, spaced[n - 1 :], sums))
-            first = max(0, held - n + 1)  # runs that end among the words just found
-            inside = owner[first : len(words) - n + 1] == owner[first + n - 1 :]
-            yield owner[first : len(words) - n + 1][inside], np.array(sums[first:], dtype=np.int64)[inside] % buckets
+            first, end = max(0, held - n + 1), max(0, len(words) - n + 1)  # runs that end among the words just found
+            inside = owner[first:end] == owner[first + n - 1 : end + n - 1]
+            yield owner[first:end][inside], np.array(sums[first:end], dtype=np.int64)[inside] % buckets
         kept = max(0, len(words) - longest + 1)  # a later run may begin there
         words, owner = words[kept:], owner[kept:]
 
