@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow.llm.align import alignment
 from oreflow.llm.common import held_out
 from oreflow.llm.decontam import contamination
 from oreflow.llm.exact import exact_duplicates
@@ -180,3 +181,8 @@ SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= drawn THEN
 @query(OP13_SQL)
 def op13_target_resampling(spark, sf_dir):
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op12_tokenizer_alignment(spark, sf_dir):
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
