@@ -74,3 +74,24 @@ def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> bool:
 def broadcast_if_small(df: DataFrame, row_bytes: int) -> DataFrame:
     """Mark the frame for broadcast when its counted size is within the bound; else leave the choice to Spark."""
     return F.broadcast(df) if small(df, row_bytes) else df
+
+
+#: Keys that may meet their rows by broadcast.
+HOT_KEYS = 1000
+
+
+def join_counted(rows: DataFrame, ones: DataFrame, keys: list[str], count: str, hot_keys: int = HOT_KEYS) -> DataFrame:
+    """Inner join of rows with ``ones``, which has one row a key and, in ``count``, how many of the rows have it.
+
+    Keys with more than a ``hot_keys``-th part of all rows, of which there are fewer than that number, go to the rows by
+    broadcast; no other key is hot, and those meet by shuffle. Both frames are read more than once: store them first.
+    """
+    total = ones.agg(F.sum(count)).first()[0]
+    if not total:
+        return rows.join(ones, keys)
+    hot = F.col(count) * hot_keys > total
+    if ones.where(hot).isEmpty():
+        return rows.join(ones, keys)
+    few = F.broadcast(ones.where(hot))
+    rest = rows.join(few.select(*keys), keys, "left_anti")
+    return rows.join(few, keys).unionByName(rest.join(ones.where(~hot), keys))

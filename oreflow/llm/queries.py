@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreflow.llm.align import alignment
+from oreflow.llm.caps import near_vectors
 from oreflow.llm.common import held_out
 from oreflow.llm.decontam import contamination
 from oreflow.llm.exact import exact_duplicates
@@ -186,3 +187,18 @@ def op13_target_resampling(spark, sf_dir):
 @query()
 def op12_tokenizer_alignment(spark, sf_dir):
     return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query(
+    """WITH RECURSIVE able AS (
+           SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+       pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM able a JOIN able b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+                 WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+       reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a)
+       SELECT vec_id, (SELECT count(*) FROM pairs WHERE a = vec_id) AS n_links, min(b) AS component_id, vec_id = min(b) AS kept
+       FROM embeddings JOIN reach ON a = vec_id GROUP BY vec_id"""
+)
+def op11_embedding_near_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
