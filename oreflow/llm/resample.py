@@ -175,4 +175,6 @@ def resample(
     """
     store = Store(docs.sparkSession, "resample")
     count = lambda df: {r["bucket"]: r["n"] for r in bucket_counts(df, buckets, longest).collect()}  # noqa: E731  buckets rows at most
-    return ranked(weights(docs, gains(count(docs), count(target), buckets), longest, seed), least_words, percent, store)
+    # Stored, as range partitioning reads its input twice.
+    scored = store.put("scored", weights(docs, gains(count(docs), count(target), buckets), longest, seed))
+    return ranked(scored, least_words, percent, store)
