@@ -29,7 +29,7 @@ class Layout:
     customer_array: bool = True  # one JSON array per file, or else JSON lines
     keep_versions: int = 2
     products: bool = True  # without a product table its stages are left out
-    order_multi_line: bool | None = None  # quoted line ends in order files; None looks for them
+    order_multi_line: bool = True  # quoted line ends in order files
 
     def at(self, name: str, default: str) -> str:
         return self.paths.get(name, f"{self.root.rstrip('/')}/{default}")

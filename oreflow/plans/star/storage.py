@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from oreflow import fs
-from oreflow.contracts import EXPORT_CUSTOMERS
+from oreflow.contracts import EXPORT_CUSTOMERS, MALFORMED, ORDERS
 from oreflow.functions.money import exact_sum
 from oreflow.operators.gold import scd2_merge, scd2_open
 from oreflow.plans.star.registry import exported_customers, exported_orders, query, table
@@ -14,6 +14,8 @@ from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sinks.partitions import replace_days
 from oreflow.sinks.snapshots import History
 from oreflow.sources.days import DAY, available_days, read_days, replay_rows
+from oreflow.sources.landing import read_orders
+
 
 @query(
     """SELECT month AS date, count(*) AS orders, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM (
@@ -154,3 +156,28 @@ def export_customer_days(spark, sf_dir):
     schema = ", ".join(f"{c} {EXPORT_CUSTOMERS.nested.get(c, 'string')}" for c in EXPORT_CUSTOMERS.columns)
     rows = spark.read.schema(schema).json(path)
     return rows.groupBy(F.col("signup_date").alias("day")).agg(F.count("*").alias("rows"), F.min("name").alias("name"))
+
+
+@query(
+    """SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey AS order_id, l_partkey % 5 = 1 AS bad,
+              CASE l_partkey % 5 WHEN 0 THEN 'two' || chr(10) || 'lines "of" ' || l_partkey || ',' WHEN 1 THEN NULL
+                   WHEN 2 THEN l_partkey || '" wide' ELSE 'P' || l_partkey END AS product_id
+       FROM lineitem"""
+)
+def landing_quoted_lines(spark, sf_dir):
+    """Line items as landing files whose values hold line ends, doubled quotes and, in every fifth, a quote that never closes."""
+    part = F.col("l_partkey")
+    product = (
+        F.when(part % 5 == 0, F.concat(F.lit('"two\nlines ""of"" '), part, F.lit(',"')))
+        .when(part % 5 == 1, F.concat(F.lit('"P'), part))
+        .when(part % 5 == 2, F.concat(part, F.lit('" wide')))
+        .otherwise(F.concat(F.lit("P"), part))
+    )
+    record = F.concat_ws(",", F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"), "l_suppkey", product, F.lit("2024-01-01,1,2.0,shipped"))
+    # As text the lines are written as they are; the name of the one column gives each file its header.
+    lines = table(spark, sf_dir, "lineitem").select(F.explode(F.split(record, "\n")).alias(",".join(ORDERS.columns)))
+    landing = shared_folder(spark, "landing-lines")
+    lines.write.options(header=True, sep="\u0001", quote="\u0000", escapeQuotes=False, emptyValue="").csv(f"{landing}/orders_2024-01-01.csv")
+    rows = read_orders(spark, landing, "2024-01-01", "2024-01-02T00:00:00")
+    bad = F.col(MALFORMED).isNotNull()
+    return rows.select("order_id", bad.alias("bad"), F.when(~bad, F.col("product_id")).alias("product_id"))

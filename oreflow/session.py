@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -32,3 +32,10 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all machines share")
         base = tempfile.mkdtemp(prefix="oreflow-")
     return f"{base.rstrip('/')}/{purpose}-{uuid4().hex}"
+
+
+def stored_once(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame as a table in a new shared folder: computed once, however often it is read and whatever is lost."""
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,6 +19,8 @@ from oreflow.errors import IngestionError
 from oreflow.functions.parsing import blank_missing
 from oreflow.operators.drift import require_columns
 from oreflow.operators.shape import flatten, with_lineage
+from oreflow.session import stored_once
+from oreflow.sources.records import any_leaves_open, records, text_lines
 
 ORDINAL = "_ord"
 
@@ -40,29 +42,32 @@ def _first_existing(spark: SparkSession, paths: list[str], what: str) -> str:
     raise IngestionError(f"{what} not found: {paths[0]}")
 
 
-def read_orders(spark: SparkSession, landing: str, date: str, ingested_at: str, multi_line: bool | None = None) -> DataFrame:
+def read_orders(spark: SparkSession, landing: str, date: str, ingested_at: str, multi_line: bool = True) -> DataFrame:
     """One day's orders: ``orders_<date>.csv`` (file or folder of parts) or ``date=<date>/``.
 
-    Columns are taken by the header's names. Only one header is read before the job runs; a part
-    file whose header differs from it fails the job instead of shifting its values. A row with more or
-    fewer fields than the header keeps its text in ``_malformed``, by which the contract refuses it.
+    Columns are taken by the header's names. A part file whose header differs is an error, so that no values
+    are shifted. A row with more or fewer fields than the header keeps its text in ``_malformed``, by which the
+    contract refuses it.
 
-    Quoted line ends need ``multi_line``, with which a file is no longer split among tasks. None
-    looks first whether some line has an odd number of quotes, which takes a pass over the text.
+    Files are split among tasks as usual. Where some line leaves a quote open, for which one pass over the text
+    looks, records are made of lines by ``sources.records``: values may hold line ends, and a quote that
+    never closes spoils its own record only. ``multi_line=False`` takes each line as a record.
     """
     path = _first_existing(spark, [f"{landing}/orders_{date}.csv", f"{landing}/date={date}"], "orders file")
-    if multi_line is None:
-        quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-        multi_line = not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-    reader = spark.read.options(header=True, escape='"', multiLine=multi_line)
+    reader = spark.read.options(header=True, escape='"')
     header = reader.csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in (*header, MALFORMED)])
-    reader = reader.options(enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
-    raw = reader.schema(schema).csv(path)
-    require_columns(raw.drop(MALFORMED), ORDERS.columns, "orders")
-    rows = _with_ordinal(raw)
-    values = {c: blank_missing(F.col(f"`{c}`")) for c in header}
-    rows = rows.withColumns(values)
+    require_columns(spark.createDataFrame([], schema).drop(MALFORMED), ORDERS.columns, "orders")
+    lines = text_lines(spark, path)
+    if multi_line and any_leaves_open(lines):
+        stored = stored_once(lines, "landing-lines")
+        parsed = F.from_csv("value", schema.toDDL(), {"escape": '"', "columnNameOfCorruptRecord": MALFORMED})
+        place = F.struct(F.col("name").alias("file"), "block", F.col("at").alias("row"))
+        rows = records(stored, len(header)).select(parsed.alias("row"), place.alias(ORDINAL), F.col("name").alias("_source_file")).select("row.*", ORDINAL, "_source_file")
+    else:
+        reader = reader.options(enforceSchema=False, columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
+        rows = _with_ordinal(reader.schema(schema).csv(path))
+    rows = rows.withColumns({c: blank_missing(F.col(f"`{c}`")) for c in header})
     return with_lineage(rows, ingested_at, F.col("_source_file"), date)
 
 
