@@ -14,21 +14,21 @@ of which is frequent, by a shuffle. So no join is skewed, whatever the vocabular
 
 from __future__ import annotations
 
-import sys
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, per_process
+from oreflow.llm.common import Remembered, Store, per_process
+from oreflow.llm.packing import Encoder
 
 #: Bytes of text aligned at once; a longer text is aligned alone.
 ALIGNED = 1 << 20
-#: Bytes of memory in which a tokenizer remembers words, and the longest word it remembers.
-REMEMBERED, LONGEST = 48 << 20, 64
+#: Bytes in which a worker remembers the words of one tokenizer.
+REMEMBERED = 200 << 20
 BROADCAST_PAIRS = 200_000
 
 
@@ -39,59 +39,67 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class Words(dict):
-    """A word to its ids, 32-bit, as it is encoded behind one space. Words whose tokens don't spell them raise LookupError."""
+class Words(Remembered):
+    """A word to its ids, 32-bit, as it is encoded behind one space."""
 
-    def __init__(self, encode: Callable[[str], list[int]], spelled: list[bytes]):
-        super().__init__()
-        self.encode, self.spelled, self.size = encode, spelled, 0
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]]):
+        super().__init__(REMEMBERED)
+        self.encode = encode
 
     def __missing__(self, word: str) -> bytes:
-        if not word or word[0].isspace() or word[-1].isspace():
-            raise LookupError(word)
-        ids = self.encode(word)
-        if b"".join([self.spelled[i] for i in ids]) != b" " + word.encode():
-            raise LookupError(word)
-        made = array("i", ids).tobytes()
-        if len(word) <= LONGEST:
-            if self.size > REMEMBERED:
-                self.clear()
-                self.size = 0
-            self[word] = made
-            self.size += sys.getsizeof(word) + sys.getsizeof(made) + 100
+        made = self.recall(word)
+        if made is None:
+            if not word:
+                raise LookupError(word)
+            made = array("i", self.encode([word])[0]).tobytes()
+            self.keep(word, made)
         return made
 
+    def learn(self, texts: list[str]) -> None:
+        """Encode the words of the texts that aren't remembered, all at once."""
+        words = {w for t in texts for w in t.split(" ")}.difference(self.keys())
+        new = [w for w in words if 0 < len(w) <= self.longest and self.recall(w) is None]
+        for word, ids in zip(new, self.encode(new), strict=True):
+            self.keep(word, array("i", ids).tobytes())
+
 
 class Side:
     """One tokenizer: ids of a text behind one space, and the bytes of each id.
 
     Neither of the two kinds lets a token reach over the place between a character that is no white space and
-    one space behind it, so words between single spaces are encoded apart and remembered.
-    Any other text is encoded whole.
+    one space behind it, so words between single spaces are encoded apart and remembered (``words`` raises
+    LookupError for others). Any other text is encoded whole.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], spelled: list[bytes]):
-        self.encode, self.spelled = encode, spelled
+    def __init__(self, encode: Callable[[str], list[int]], spelled: list[bytes], words: Mapping[str, bytes]):
+        self.encode, self.words = encode, words
         self.sizes = np.array([len(b) for b in spelled], dtype=np.int64)
-        self.words = Words(encode, spelled)
+        self.begins, self.flat = np.cumsum(self.sizes) - self.sizes, np.frombuffer(b"".join(spelled), dtype=np.uint8)
+
+    def learn(self, texts: list[str]) -> None:
+        if isinstance(self.words, Words):
+            self.words.learn(texts)
 
-    def ids(self, text: str, content: bytes) -> np.ndarray | None:
-        """None if the tokens don't spell the text."""
+    def ids(self, text: str) -> np.ndarray:
         try:
-            return np.frombuffer(b"".join(map(self.words.__getitem__, text.split(" "))), dtype=np.int32)
+            ids = array("i", b"".join(map(self.words.__getitem__, text.split(" "))))
         except LookupError:
-            ids = self.encode(text)
-            return np.array(ids, dtype=np.int32) if b"".join([self.spelled[i] for i in ids]) == b" " + content else None
+            ids = array("i", self.encode(text))
+        return np.array(ids, dtype=np.int64)
+
+    def spelled(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of the tokens in a row."""
+        sizes = self.sizes[ids]
+        return self.flat[np.repeat(self.begins[ids] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
 
 
 def byte_level(path: str) -> Side:
     """A tokenizers file of the byte-level kind. It gets the space; names of special tokens in a text are text."""
-    from tokenizers import Tokenizer
-
-    tokenizer, letters = Tokenizer.from_file(path), byte_letters()
+    encoder, letters = Encoder(path), byte_letters()
+    tokenizer = encoder.tokenizer
     tokenizer.encode_special_tokens = True
     spelled = [bytes(letters[c] for c in tokenizer.id_to_token(i)) for i in range(tokenizer.get_vocab_size())]
-    return Side(lambda text: tokenizer.encode(" " + text, add_special_tokens=False).ids, spelled)
+    return Side(lambda text: tokenizer.encode(" " + text, add_special_tokens=False).ids, spelled, encoder.rest)
 
 
 def piece(path: str) -> Side:
@@ -101,7 +109,8 @@ def piece(path: str) -> Side:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     names = [model.id_to_piece(i) for i in range(model.get_piece_size())]
     spelled = [bytes([int(n[1:-1], 16)]) if model.is_byte(i) else n.replace("▁", " ").encode() for i, n in enumerate(names)]
-    return Side(lambda text: model.encode(text, num_threads=1), spelled)
+    encode = lambda text: model.encode(text, num_threads=1)  # noqa: E731  a text or a list of texts
+    return Side(encode, spelled, Words(encode))
 
 
 def shared_cuts(a: np.ndarray, b: np.ndarray, a_lo: np.ndarray, a_hi: np.ndarray, b_lo: np.ndarray, b_hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +143,16 @@ def shared_cuts(a: np.ndarray, b: np.ndarray, a_lo: np.ndarray, a_hi: np.ndarray
         a_lo, a_hi, b_lo, b_hi, middle, at = (x[hit] for x in (a_lo, a_hi, b_lo, b_hi, middle, at))
         found_a.append(middle)
         found_b.append(at)
-        a_lo, a_hi = np.concatenate((a_lo, middle + 1)), np.concatenate((middle + 1, a_hi))
-        b_lo, b_hi = np.concatenate((b_lo, at + 1)), np.concatenate((at + 1, b_hi))
+        # Halves side by side: intervals stay in order, and so do the ends looked up.
+        a_lo, a_hi = np.stack((a_lo, middle + 1), axis=1).ravel(), np.stack((middle + 1, a_hi), axis=1).ravel()
+        b_lo, b_hi = np.stack((b_lo, at + 1), axis=1).ravel(), np.stack((at + 1, b_hi), axis=1).ravel()
+
+
+def _text(content: bytes) -> str:
+    try:
+        return content.decode()
+    except UnicodeDecodeError:
+        return ""
 
 
 class Aligner:
@@ -143,25 +160,31 @@ class Aligner:
 
     def __init__(self, one: Side, other: Side):
         self.one, self.other = one, other
-        most = max(len(one.spelled), len(other.spelled))
+        most = max(len(one.sizes), len(other.sizes))
         self.parts = [f"{i}{sign}".encode() for i in range(most) for sign in ",|;"]
 
     def __call__(self, contents: list[bytes]) -> list[tuple[int, int, bytes, np.ndarray, np.ndarray]]:
         none = np.empty(0, dtype=np.int64)
         out, a_ids, b_ids, rows = [(0, 0, b"", none, none)] * len(contents), [], [], []
-        for k, content in enumerate(contents):
-            try:
-                text = content.decode()
-            except UnicodeDecodeError:
-                continue
-            if text and (x := self.one.ids(text, content)) is not None and (y := self.other.ids(text, content)) is not None:
-                a_ids.append(x)
-                b_ids.append(y)
-                rows.append(k)
+        texts = [_text(c) for c in contents]
+        for side in (self.one, self.other):
+            side.learn([t for t in texts if t])
+        for k, text in enumerate(texts):
+            if text:
+                x, y, size = self.one.ids(text), self.other.ids(text), len(contents[k]) + 1
+                if self.one.sizes[x].sum() == size == self.other.sizes[y].sum():
+                    a_ids.append(x)
+                    b_ids.append(y)
+                    rows.append(k)
+        for ids, side in ((a_ids, self.one), (b_ids, self.other)):  # the tokens must spell the texts
+            whole = np.frombuffer(b"".join([b" " + contents[k] for k in rows]), dtype=np.uint8)
+            odd = np.flatnonzero(whole != side.spelled(np.concatenate(ids))) if ids else np.empty(0)
+            bad = set(np.searchsorted(np.cumsum([len(contents[k]) + 1 for k in rows]), odd, side="right").tolist())
+            a_ids, b_ids, rows = ([x for n, x in enumerate(xs) if n not in bad] for xs in (a_ids, b_ids, rows))
         if not rows:
             return out
         a_cut, b_cut = (np.cumsum([0, *map(len, x)]) for x in (a_ids, b_ids))
-        a_ids, b_ids = np.concatenate(a_ids).astype(np.int64), np.concatenate(b_ids).astype(np.int64)
+        a_ids, b_ids = np.concatenate(a_ids), np.concatenate(b_ids)
         cut_a, cut_b = shared_cuts(np.cumsum(self.one.sizes[a_ids]), np.cumsum(self.other.sizes[b_ids]), a_cut[:-1], a_cut[1:], b_cut[:-1], b_cut[1:])
         # All in the order a1,a2|b1;a3|b2,b3; with a sign behind each id: 0 for ',', 1 for '|', 2 for ';'.
         a_last, b_last = np.zeros(len(a_ids), dtype=np.int64), np.zeros(len(b_ids), dtype=np.int64)

@@ -66,6 +66,34 @@ def per_process(name: str, make: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
+class Remembered(dict):
+    """What a Python worker remembers of short texts: ``bound`` bytes at most, for keys of up to ``longest`` characters.
+
+    When half the bytes are full they become the older half and what was the older half is forgotten, so frequent texts stay.
+    """
+
+    def __init__(self, bound: int, longest: int = 64):
+        super().__init__()
+        self.bound, self.longest, self.size, self.older = bound, longest, 0, {}
+
+    def recall(self, key):
+        """The value from the older half, or None; to be called for keys that the dictionary lacks."""
+        value = self.older.get(key)
+        if value is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(key) > self.longest:
+            return
+        size = 220 + 4 * len(key) + (len(value) if type(value) is bytes else 0)  # with the entry itself
+        if 2 * (self.size + size) > self.bound:
+            self.older, self.size = dict(self), 0
+            self.clear()
+        self[key] = value
+        self.size += size
+
+
 def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> bool:
     """Does the frame, counted first, fit the broadcast bound? Count only stored or tiny frames."""
     return df.limit(bound // row_bytes + 1).count() * row_bytes <= bound

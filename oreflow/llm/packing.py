@@ -20,14 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, per_process, row_key
+from oreflow.llm.common import Remembered, Store, per_process, row_key
 
 CAPACITY = 2048
 END_ID = 0
 #: Pieces numbered in one group.
 GROUP_ROWS = 50_000
-#: Encoded chunks a Python worker remembers; beyond it starts anew.
-REMEMBERED = 400_000
+#: Bytes in which a Python worker remembers encoded chunks, of texts' begins and of what follows a space, and signs.
+REMEMBERED = {"first": 40 << 20, "rest": 200 << 20, "signs": 4 << 20}
 #: Letters, and ASCII signs behind them.
 _WORD_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
@@ -39,7 +39,7 @@ def _byte_letters() -> dict[int, int]:
     return {b: b for b in printable} | {b: 256 + k for k, b in enumerate(rest)}
 
 
-class _Chunks(dict):
+class _Chunks(Remembered):
     """Chunk of text to its ids, little-endian 32-bit. A chunk stands between single spaces; ``lead`` is the space before it.
 
     The vocabulary's splitting rule never joins a letter to a space that follows it, so between
@@ -48,9 +48,9 @@ class _Chunks(dict):
     """
 
     def __init__(self, tokenizer, lead: str, first: _Chunks | None = None):
-        super().__init__()
+        super().__init__(REMEMBERED["first" if first is None else "rest"])
         self.lead, self.split, self.merge = lead, tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
-        self.letters, self.first, self.signs = _byte_letters(), self if first is None else first, {}
+        self.letters, self.first, self.signs = _byte_letters(), self if first is None else first, Remembered(REMEMBERED["signs"])
         self.line = self._merged(["\u010a"])
 
     def _merged(self, parts: list[str]) -> bytes:
@@ -64,20 +64,20 @@ class _Chunks(dict):
             if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
                 return self.line.join([self[head], *map(self.first.__getitem__, tail)])
         elif (found := _WORD_SIGNS.fullmatch(chunk)) and found[1].isalpha():
-            signs = self.signs.get(found[2])
+            signs = self.signs.get(found[2]) or self.signs.recall(found[2])
             if signs is None:
-                signs = self.signs[found[2]] = self._merged([p for p, _ in self.split(found[2])])
+                signs = self._merged([p for p, _ in self.split(found[2])])
+                self.signs.keep(found[2], signs)
             return self[found[1]] + signs
         return self._merged([p for p, _ in self.split(self.lead + chunk)])
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
             raise LookupError(chunk)
-        ids = self._made(chunk)
-        if len(self) >= REMEMBERED:
-            self.clear()
-            self.signs.clear()
-        self[chunk] = ids
+        ids = self.recall(chunk)
+        if ids is None:
+            ids = self._made(chunk)
+            self.keep(chunk, ids)
         return ids
 
 

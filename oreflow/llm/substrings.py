@@ -29,23 +29,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, broadcast_if_small, row_key
+from oreflow.llm.common import Remembered, Store, broadcast_if_small, row_key
 
 LENGTH = 50
 GRAM = 8
 #: Contexts of one anchor that a task holds at most, and how many contexts it works on at once.
 GROUP_CONTEXTS, STEP_CONTEXTS = 50_000, 4_000
-#: Words one Python task remembers; beyond it starts anew.
-REMEMBERED = 400_000
+#: Bytes in which a Python task remembers words.
+REMEMBERED = 64 << 20
 #: Stands for a null id: larger than all others, so its repeats go and it takes none away.
 LAST = 2**63 - 1
 
 
-class _Hashes(dict):
+class _Hashes(Remembered):
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word)
+        found = xxhash.xxh64_intdigest(word)
+        self.keep(word, found)
         return found
 
 
@@ -74,7 +73,7 @@ def anchors(hashes: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.nd
 
 def _anchor_rows(docs: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Hashes()
+        known = _Hashes(REMEMBERED)
         for batch in batches:
             at, columns, contexts = [], [], []
             for k, text in enumerate(batch.column("content")):

@@ -35,8 +35,8 @@ STEPS, RATE, DECAY = 80, 0.15, 2e-3
 START = -7.0
 #: Bias of a model that has seen nothing toxic.
 NEVER = -30.0
-#: Words one Python task remembers; beyond it starts anew.
-REMEMBERED = 400_000
+#: Bytes in which a Python task remembers words; a text that takes it beyond makes it start anew.
+REMEMBERED = 64 << 20
 STOP = b"."
 
 # Sentences end at . ! ? and line ends; other ASCII signs separate words.
@@ -89,18 +89,19 @@ class _Weights(dict):
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights, self.values = weights, array("d", [0.0])
+        self.weights, self.values, self.size = weights, array("d", [0.0]), 0
         self[STOP] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.values)
         self.values.append(float(self.weights[features(word)].sum()))
+        self.size += len(word) + 200  # the word, its number and its weight
         return number
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
-        if len(self) >= REMEMBERED:
+        if self.size > REMEMBERED:
             self.clear()
-            self.values, self[STOP] = array("d", [0.0]), 0
+            self.values, self[STOP], self.size = array("d", [0.0]), 0, 0
         return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
 

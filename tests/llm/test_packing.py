@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import sys
 import zlib
 from collections import defaultdict
 from itertools import combinations
@@ -10,6 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from oreflow.llm import packing
 from oreflow.llm.packing import Encoder, fullest, pack, plan_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -36,6 +38,20 @@ def test_lines_without_spaces(gap):
     assert len(mine.first) + len(mine.rest) < 100
 
 
+def test_space_free_texts_take_bounded_memory(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", {"first": 200_000, "rest": 400_000, "signs": 20_000})
+    plain, mine = Tokenizer.from_file(PATH), Encoder(PATH)
+    draw = random.Random(5)
+    held = lambda x: sum(sys.getsizeof(k) + sys.getsizeof(v) for d in (x, x.older) for k, v in d.items())
+    for n in range(3000):
+        text = "".join(chr(draw.randrange(0x4E00, 0x9FFF)) for _ in range(draw.randrange(5, 900))) + "!?" * draw.randrange(40) + " " + f"{draw.random()}" * draw.randrange(1, 9)
+        ids = mine(text)
+        if n % 100 == 0:
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    assert held(mine.first) <= 200_000 and held(mine.rest) <= 400_000 and held(mine.rest.signs) <= 20_000
+    assert len(mine.first) > 0 and len(mine.rest) > 100
+
+
 def test_fullest_is_the_best_subset():
     draw = random.Random(2)
     for _ in range(60):
