@@ -13,8 +13,8 @@ has one more error, and is left as soon as its errors exceed the budget. A node
 sorted fingerprints and all pairs of a level advance at once in numpy. A task hands on links that
 connect what it found connected, a spanning forest, never all pairs.
 
-Components are joined by alternating star operations on stored links, so no node's
-neighbourhood is held in one place.
+Components are joined by alternating star operations on stored links. A hub's links meet its least
+neighbour in one join, row by row, which the adaptive planner can split; they are never held together.
 """
 
 from __future__ import annotations
@@ -98,7 +98,7 @@ def linked_pairs(values: np.ndarray, depth: int, budget: int) -> Iterator[tuple[
         a_lo, a_hi, b_lo, b_hi, errors = a_lo[deep], a_hi[deep], b_lo[deep], b_hi[deep], errors[deep]
         bit = np.uint64(63 - level)
         half = np.uint64(1) << bit
-        clear = ~((half << np.uint64(1)) - np.uint64(1))
+        clear = ~(half | (half - np.uint64(1)))
         a_mid = np.searchsorted(values, (values[a_lo] & clear) | half)
         b_mid = np.searchsorted(values, (values[b_lo] & clear) | half)
         same = a_lo == b_lo

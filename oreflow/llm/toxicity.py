@@ -217,8 +217,9 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
             arrays = [batch.column(c) for c in columns] + [pa.array(found, pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name])
 
-    inputs = docs.select(*columns) if text in columns else docs.select(*columns, F.col("text").alias(text))
-    schema = docs.select(*columns).schema.add(name, "double")
+    named = [F.col(f"`{c}`") for c in columns]
+    inputs = docs.select(*named) if text in columns else docs.select(*named, F.col("text").alias(text))
+    schema = docs.select(*named).schema.add(name, "double")
     return inputs.mapInArrow(run, schema)
 
 
