@@ -19,6 +19,7 @@ Check = Callable[[Column], Column]
 
 #: Text of a row that did not fit its header, null for others.
 MALFORMED = "_malformed"
+MISFIT = "row: more or fewer fields than the header"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
@@ -64,9 +65,9 @@ class Field:
             return raw.cast("date") if isinstance(source, _TEMPORAL) else parsing.to_date(text)
         return text
 
-    def error(self, source: T.DataType) -> Column:
-        """First thing wrong with the value as text, null when it is fine."""
-        raw, value = F.col(f"`{self.name}`"), self.parsed(source)
+    def error(self, value: Column) -> Column:
+        """First thing wrong with the parsed value as text, null when it is fine."""
+        raw = F.col(f"`{self.name}`")
         case = F.when(raw.isNull(), F.lit(None if self.nullable else f"{self.name}: missing").cast("string"))
         if self.kind in _KIND_LABEL:
             case = case.when(value.isNull(), f"{self.name}: {_KIND_LABEL[self.kind]}")
@@ -74,6 +75,13 @@ class Field:
             case = case.when(~rule.holds(value), f"{self.name}: {rule.message}")
         return case
 
+    @property
+    def messages(self) -> list[str]:
+        """All that :meth:`error` can say."""
+        kind = [f"{self.name}: {_KIND_LABEL[self.kind]}"] if self.kind in _KIND_LABEL else []
+        missing = [] if self.nullable else [f"{self.name}: missing"]
+        return [*missing, *kind, *[f"{self.name}: {r.message}" for r in self.rules]]
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -86,26 +94,32 @@ class Contract:
     def columns(self) -> list[str]:
         return [f.name for f in self.fields]
 
-    def errors(self, df: DataFrame) -> list[Column]:
-        """One expression per field and row rule: the message of what is wrong, or null."""
+    def values(self, df: DataFrame) -> dict[str, Column]:
+        """What each field's value is."""
         types = {f.name: f.dataType for f in df.schema.fields}
-        found = [f.error(types[f.name]) for f in self.fields]
-        if MALFORMED in types:
-            found.insert(0, F.when(F.col(MALFORMED).isNotNull(), "row: more or fewer fields than the header"))
-        if self.row_rules:
-            values = {f.name: f.parsed(types[f.name]) for f in self.fields}
-            found += [F.when(~rule.holds(values), F.lit(rule.message)) for rule in self.row_rules]
-        return found
-
-    def typed(self, df: DataFrame) -> DataFrame:
+        return {f.name: f.parsed(types[f.name]) for f in self.fields}
+
+    def errors(self, df: DataFrame, values: Mapping[str, Column] | None = None) -> list[Column]:
+        """One expression per field and row rule: the message of what is wrong, or null.
+
+        ``values`` are the parsed fields; without them the expressions parse, each for itself.
+        """
+        values = values or self.values(df)
+        found = [f.error(values[f.name]) for f in self.fields]
+        if MALFORMED in df.columns:
+            found.insert(0, F.when(F.col(MALFORMED).isNotNull(), MISFIT))
+        return found + [F.when(~rule.holds(values), F.lit(rule.message)) for rule in self.row_rules]
+
+    @property
+    def messages(self) -> list[str]:
+        """All that can be wrong with a row."""
+        return [MISFIT, *[m for f in self.fields for m in f.messages], *[r.message for r in self.row_rules]]
+
+    def typed(self, df: DataFrame, values: Mapping[str, Column] | None = None) -> DataFrame:
         """Numbers as numbers. Text and dates stay as they came, extra columns too."""
-        kinds = {f.name: f for f in self.fields if f.kind in ("long", "double")}
-        return df.select(
-            *[
-                kinds[c.name].parsed(c.dataType).alias(c.name) if c.name in kinds else F.col(f"`{c.name}`")
-                for c in df.schema.fields
-            ]
-        )
+        values = values or self.values(df)
+        numbers = {f.name for f in self.fields if f.kind in ("long", "double")}
+        return df.select(*[values[c].alias(c) if c in numbers else F.col(f"`{c}`") for c in df.columns])
 
     def normalize(self, df: DataFrame) -> DataFrame:
         """The values the contract itself would return: lower case, defaults filled in."""

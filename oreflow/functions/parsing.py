@@ -55,8 +55,9 @@ def _is_digit(text: Column, position: int) -> Column:
 def to_double(text: Column) -> Column:
     """Number written as text, or null when it is not one."""
     # Of what the cast reads beyond the pattern, hexadecimals have an x and suffixed numbers no
-    # digit at the end.
-    plain = _is_digit(text, -1) & ~text.contains("x") & ~text.contains("X")
+    # digit at the end. Text that the cast can't read must not reach it: it makes and drops an error for each.
+    begins = _is_digit(text, 1) | F.substring(text, 1, 1).isin("-", "+", ".")
+    plain = begins & _is_digit(text, -1) & ~text.contains("x") & ~text.contains("X")
     return F.when(plain | text.rlike(NUMBER_PATTERN), text.try_cast("double"))
 
 
@@ -68,15 +69,16 @@ def whole(number: Column) -> Column:
 
 def to_long(text: Column) -> Column:
     """Integer written as text; ``2`` and ``2.0`` are integers, ``2.5`` is not."""
-    return F.coalesce(text.try_cast("long"), whole(to_double(text)))
+    return F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast("long")).otherwise(whole(to_double(text)))
 
 
 def to_date(text: Column) -> Column:
     """ISO date (a midnight time part is allowed), or null."""
     # With both dashes in place and a digit at the end the cast admits no other form.
     dashes = (F.instr(text, "-") == 5) & (F.locate("-", text, 6) == 8)
-    plain = (F.length(text) == 10) & dashes & _is_digit(text, 10)
-    return F.when(plain, text.try_cast("date")).when(text.rlike(DATE_PATTERN), F.substring(text, 1, 10).try_cast("date"))
+    real = F.substring(text, 6, 2).between("01", "12") & F.substring(text, 9, 2).between("01", "31")
+    plain = (F.length(text) == 10) & dashes & _is_digit(text, 10) & real
+    return F.when(plain, text.try_cast("date")).when(real & text.rlike(DATE_PATTERN), F.substring(text, 1, 10).try_cast("date"))
 
 
 def is_iso_date(text: Column) -> Column:

@@ -1,13 +1,14 @@
 """Split rows by a contract.
 
-The good and the bad side are two filters over the same input. Both are deterministic, so
-reading the bronze files twice is cheaper and safer than caching them, and no row can be lost
-or counted twice between the two.
+Each field is read once and all that is wrong with a row becomes one list. Both stand behind a step that the
+optimizer can't fold into the filters and columns that use them, so nothing is read a second time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from oreflow.contracts import EXPORT_STATES, Contract
@@ -17,20 +18,74 @@ REASON = "_quarantine_reason"
 #: The same as a list, for counting: a message may hold the text's separator.
 REASONS = "_quarantine_reasons"
 QUARANTINED_AT = "_quarantined_at"
+#: Begins the names of the columns that hold what the fields mean, while rows are judged.
+VALUE = "_value_"
+GOOD = "_good"
+
+
+def judged(df: DataFrame, contract: Contract) -> DataFrame:
+    """The rows with a column ``_value_<field>`` for each parsed field, and ``_quarantine_reasons``, empty for a good row."""
+    values = F.struct(*[v.alias(VALUE + name) for name, v in contract.values(df).items()])
+    # Expressions are not merged across a generator, here of one row: each is computed once.
+    read = df.select("*", F.inline(F.array(values)))
+    errors = F.array_compact(F.array(*contract.errors(df, values_of(contract))))
+    return read.select("*", F.explode(F.array(errors)).alias(REASONS))
+
+
+def values_of(contract: Contract) -> dict[str, Column]:
+    """The parsed fields of judged rows."""
+    return {f.name: F.col(f"`{VALUE}{f.name}`") for f in contract.fields}
+
+
+def _plain(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.drop(*[c for c in rows.columns if c.startswith(VALUE)], *more)
+
+
+def _good(rows: DataFrame, contract: Contract, typed: bool = True) -> DataFrame:
+    return _plain(contract.typed(rows, values_of(contract)) if typed else rows, REASONS)
+
+
+def _bad(rows: DataFrame, quarantined_at: str | None) -> DataFrame:
+    bad = _plain(rows).withColumn(REASON, F.array_join(REASONS, "; "))
+    bad = bad.select(*[F.col(f"`{c}`") for c in bad.columns if c != REASONS], REASONS)
+    return bad if quarantined_at is None else bad.withColumn(QUARANTINED_AT, F.lit(quarantined_at))
 
 
 def good_rows(df: DataFrame, contract: Contract, typed: bool = True) -> DataFrame:
     """Rows that meet the contract, otherwise unchanged (numbers typed unless told not to)."""
-    good = df.where(F.coalesce(*contract.errors(df)).isNull())
-    return contract.typed(good) if typed else good
+    return _good(judged(df, contract).where(F.size(REASONS) == 0), contract, typed)
 
 
 def bad_rows(df: DataFrame, contract: Contract, quarantined_at: str | None = None) -> DataFrame:
     """Rows that break the contract, as they came, with every reason."""
-    errors = contract.errors(df)
-    bad = df.where(F.coalesce(*errors).isNotNull())
-    bad = bad.withColumns({REASON: F.concat_ws("; ", *errors), REASONS: F.array_compact(F.array(*errors))})
-    return bad if quarantined_at is None else bad.withColumn(QUARANTINED_AT, F.lit(quarantined_at))
+    return _bad(judged(df, contract).where(F.size(REASONS) > 0), quarantined_at)
+
+
+@dataclass(frozen=True)
+class Split:
+    """Rows split by a contract: the good ones, the bad ones, and how many there are of each and of each reason."""
+
+    good: DataFrame
+    bad: DataFrame
+    rows: int
+    refused: int
+    reasons: dict[str, int]
+
+
+def split(df: DataFrame, contract: Contract, path: str, quarantined_at: str | None = None) -> Split:
+    """Judge the rows in one pass and one write to ``path``, which both sides are read from; the counts come with the write."""
+    messages = contract.messages
+    seen = Observation()
+    counts = [F.count_if(F.array_contains(REASONS, m)).alias(f"reason_{k}") for k, m in enumerate(messages)]
+    rows = judged(df, contract).withColumn(GOOD, F.size(REASONS) == 0)
+    rows = rows.drop(*[VALUE + f.name for f in contract.fields if f.kind not in ("long", "double")])
+    rows = rows.observe(seen, F.count("*").alias("rows"), F.count_if(~F.col(GOOD)).alias("refused"), *counts)
+    rows.write.mode("overwrite").partitionBy(GOOD).parquet(path)
+    stored = df.sparkSession.read.schema(rows.schema).parquet(path)
+    found = seen.get
+    sides = [stored.where(F.col(GOOD) == side).drop(GOOD) for side in (True, False)]
+    reasons = {m: found[f"reason_{k}"] for k, m in enumerate(messages) if found[f"reason_{k}"]}
+    return Split(_good(sides[0], contract), _bad(sides[1], quarantined_at), found["rows"], found["refused"], reasons)
 
 
 def reason_counts(bad: DataFrame) -> DataFrame:

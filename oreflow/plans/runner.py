@@ -21,7 +21,7 @@ from oreflow.operators.days import backfill_days
 from oreflow.operators.dedup import keep_last
 from oreflow.operators.gold import fact_orders, scd1, scd2_merge, scd2_open
 from oreflow.operators.shape import drop_technical
-from oreflow.operators.validate import bad_rows, good_rows
+from oreflow.operators.validate import split
 from oreflow.plans.layout import Layout
 from oreflow.plans.state import RunState
 from oreflow.session import get_session
@@ -45,6 +45,8 @@ class DailyRun:
         self.effective_date = effective_date or now.date().isoformat()
         self.state = RunState(spark, layout.state)
         self.new_mark: str | None = None
+        #: For each silver stage, how often each reason to refuse a row occurred.
+        self.reasons: dict[str, Counts] = {}
 
     # bronze
 
@@ -104,16 +106,14 @@ class DailyRun:
     def _clean(self, bronze: DataFrame, contract: Contract, order: list[str], sink: Callable[[DataFrame], int]) -> Counts:
         """Bad rows to quarantine; of the good ones the last per key to silver.
 
-        How many duplicates fell away follows from the other counts; counting bronze again
-        reads only the footers of its files.
+        Bronze is read and judged once; quarantine and silver come from what that stored.
         """
-        bad = bad_rows(bronze, contract, self.at)
-        refused = replace_day(bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date", keep_empty=False)
-        good = good_rows(bronze, contract)
-        if self.layout.normalize:
-            good = contract.normalize(good)
+        found = split(bronze, contract, f"{self.layout.checked}/{contract.name}", self.at)
+        self.reasons[f"silver_{contract.name}"] = found.reasons
+        refused = replace_day(found.bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date", keep_empty=False)
+        good = contract.normalize(found.good) if self.layout.normalize else found.good
         written = sink(keep_last(good, contract.key, order))
-        return {"quarantined": refused, "deduped": bronze.count() - refused - written, "written": written}
+        return {"quarantined": refused, "deduped": found.rows - refused - written, "written": written}
 
     # gold
 
@@ -182,6 +182,8 @@ def run_one_date(spark: SparkSession, layout: Layout, date: str, effective_date:
     try:
         for name in STAGES if layout.products else [s for s in STAGES if "product" not in s]:
             stages.append(_timed(name, getattr(run, name)))
+            if name in run.reasons:
+                stages[-1]["reasons"] = run.reasons[name]
             if stages[-1]["status"] == "FAIL":
                 status, error = "FAIL", stages[-1]["error"]
                 break

@@ -19,7 +19,10 @@ from oreflow.operators.validate import (
     exported_customer_is_bad,
     exported_order_is_bad,
     good_rows,
+    judged,
     reason_counts,
+    split,
+    values_of,
 )
 from oreflow.plans.star.registry import (
     EXPORTED_ORDERS_SQL,
@@ -31,6 +34,7 @@ from oreflow.plans.star.registry import (
     query,
     table,
 )
+from oreflow.session import shared_folder
 
 PRICE_LIMIT = 450_000
 STAR_ORDERS = Contract(
@@ -149,10 +153,28 @@ def text_orders(spark, sf_dir):
 )
 def validate_text_orders(spark, sf_dir):
     """Orders as text: the good ones typed, the bad ones with every reason."""
-    rows = text_orders(spark, sf_dir)
-    good = good_rows(rows, ORDERS).select("order_id", F.lit(None).cast("string").alias("reasons"), "quantity", "unit_price")
-    bad = bad_rows(rows, ORDERS).select("order_id", F.col("_quarantine_reason").alias("reasons"))
-    return good.unionByName(bad, allowMissingColumns=True)
+    rows = judged(text_orders(spark, sf_dir), ORDERS)
+    good, value = F.size("_quarantine_reasons") == 0, values_of(ORDERS)
+    reasons = F.nullif(F.array_join("_quarantine_reasons", "; "), F.lit(""))
+    return rows.select("order_id", reasons.alias("reasons"), *[F.when(good, value[c]).alias(c) for c in ("quantity", "unit_price")])
+
+
+@query(
+    f"""SELECT good, reason, count(*) AS rows FROM (
+            SELECT reasons = '' AS good, unnest(CASE WHEN reasons = '' THEN ['none'] ELSE string_split(reasons, '; ') END) AS reason
+            FROM (SELECT *, {ORDER_REASONS_SQL} AS reasons FROM ({TEXT_ORDERS_SQL})))
+        GROUP BY 1, 2
+        UNION ALL
+        SELECT true, 'total amount', CAST(sum(CAST(CAST(quantity AS DOUBLE) * CAST(unit_price AS DOUBLE) AS DECIMAL(18,2))) AS BIGINT)
+        FROM (SELECT *, {ORDER_REASONS_SQL} AS reasons FROM ({TEXT_ORDERS_SQL})) WHERE reasons = ''"""
+)
+def validate_split(spark, sf_dir):
+    """Orders as text, judged in one pass and one write; the counts of the reasons come with that write."""
+    found = split(text_orders(spark, sf_dir), ORDERS, shared_folder(spark, "checked"), "2024-06-01T00:00:00")
+    counts = [(False, m, n) for m, n in found.reasons.items()] + [(True, "none", found.rows - found.refused)]
+    total = found.good.agg(exact_sum(F.col("quantity") * F.col("unit_price")).cast("long").alias("rows"))
+    told = spark.createDataFrame(counts, "good boolean, reason string, rows long")
+    return told.unionByName(total.select(F.lit(True).alias("good"), F.lit("total amount").alias("reason"), "rows"))
 
 
 _CUSTOMER_REASONS_SQL = """
