@@ -11,3 +11,7 @@ class SchemaError(FlowError):
 
 class IngestionError(FlowError):
     """A source file or table is not there or cannot be read."""
+
+
+class CommitConflict(Exception):
+    """Other writers committed first, again and again."""

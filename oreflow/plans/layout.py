@@ -6,7 +6,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
+from oreflow.contracts import PRODUCTS
 from oreflow.operators.gold import TRACKED
+from oreflow.sinks.buckets import Buckets
 from oreflow.sinks.snapshots import History, Snapshot
 
 
@@ -25,6 +27,7 @@ class Layout:
     amount_bounds: tuple[float, float] | None = None
     inclusive_mark: bool = False
     product_partitions: int = 1
+    product_buckets: int = 16  # of the product dimension, when it is first written
     customer_schema: str | None = None
     customer_array: bool = True  # one JSON array per file, or else JSON lines
     keep_versions: int = 2
@@ -78,8 +81,8 @@ class Layout:
     def snapshot(self, spark: SparkSession, layer: str, name: str) -> Snapshot:
         return Snapshot(spark, f"{layer}/{name}")
 
-    def dim_product(self, spark: SparkSession) -> Snapshot:
-        return Snapshot(spark, f"{self.gold}/dim_product")
+    def dim_product(self, spark: SparkSession) -> Buckets:
+        return Buckets(spark, f"{self.gold}/dim_product", PRODUCTS.key, self.product_buckets)
 
     def dim_customer(self, spark: SparkSession) -> History:
         return History(spark, f"{self.gold}/dim_customer")

@@ -121,8 +121,8 @@ class DailyRun:
         silver, gold = self._silver("products"), self.layout.dim_product(self.spark)
         if not silver.exists() or silver.read().isEmpty():
             return {}
-        existing = gold.read() if gold.exists() else None
-        return {"written": gold.write(scd1(existing, silver.read(), PRODUCTS.key, self.at, self.layout.product_mode))}
+        rows = scd1(None, silver.read(), PRODUCTS.key, self.at, self.layout.product_mode)
+        return {"written": gold.upsert(rows) if self.layout.product_mode == "upsert" else gold.write(rows)}
 
     def dim_customer(self) -> Counts:
         silver, gold = self._silver("customers"), self.layout.dim_customer(self.spark)

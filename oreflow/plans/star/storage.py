@@ -10,6 +10,7 @@ from oreflow.functions.money import exact_sum
 from oreflow.operators.gold import scd2_merge, scd2_open
 from oreflow.plans.star.registry import exported_customers, exported_orders, query, table
 from oreflow.session import shared_folder
+from oreflow.sinks.buckets import Buckets
 from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sinks.partitions import replace_days
 from oreflow.sinks.snapshots import History
@@ -181,3 +182,17 @@ def landing_quoted_lines(spark, sf_dir):
     rows = read_orders(spark, landing, "2024-01-01", "2024-01-02T00:00:00")
     bad = F.col(MALFORMED).isNotNull()
     return rows.select("order_id", bad.alias("bad"), F.when(~bad, F.col("product_id")).alias("product_id"))
+
+
+@query(
+    """SELECT c_custkey AS key, CASE WHEN c_custkey % 500 = 0 THEN 'moved' ELSE c_mktsegment END AS segment, c_acctbal AS balance FROM customer
+       UNION ALL SELECT -c_custkey - 1, 'new', NULL FROM customer WHERE c_custkey % 700 = 0"""
+)
+def upsert_buckets(spark, sf_dir):
+    """Customers in hash buckets; two small deltas rewrite the buckets of their keys only."""
+    stored = Buckets(spark, shared_folder(spark, "buckets"), ["key"])
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    stored.write(customers)
+    stored.upsert(customers.where("key % 500 = 0").withColumn("segment", F.lit("moved")))
+    stored.upsert(customers.where("key % 700 = 0").select((-F.col("key") - 1).alias("key"), F.lit("new").alias("segment")))
+    return stored.read()

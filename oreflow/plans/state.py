@@ -10,7 +10,7 @@ from oreflow import fs
 
 RUN_SCHEMA = (
     "date string, status string, error string, started_at string, finished_at string, duration_sec double, "
-    "stages array<struct<stage:string,status:string,error:string,duration_sec:double,counts:map<string,bigint>>>"
+    "stages array<struct<stage:string,status:string,error:string,duration_sec:double,counts:map<string,bigint>,reasons:map<string,bigint>>>"
 )
 
 
