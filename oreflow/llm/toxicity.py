@@ -204,8 +204,29 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
     return np.frombuffer(bytes(model["weights"]), dtype=np.float32), model["bias"]
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str], name: str = "score") -> DataFrame:
-    """The given columns of each document and its probability of being toxic under ``name``; null text is empty."""
+LOCATED = ("n_offending integer", "worst_sentence integer", "worst_score double", "worst_words string")
+
+
+def located(text: str, weights: _Weights, bias: float, least: float = 0.5) -> tuple[float, int, int | None, float | None, str | None]:
+    """Score of a text, how many of its sentences reach ``least`` by themselves, and the first of the worst ones: number, probability, words."""
+    logits, words, starts, distinct = sentence_scores(text, weights, bias)
+    if not len(logits):
+        return 0.0, 0, None, None, None
+    own, k = 1 / (1 + np.exp(-logits)), int(np.argmax(logits))
+    return noisy_or(logits[distinct]), int((own >= least).sum()), k, float(own[k]), said(words, starts, k)
+
+
+def said(words: list[bytes], starts: np.ndarray, k: int) -> str:
+    """The words of sentence ``k``."""
+    end = starts[k + 1] if k + 1 < len(starts) else len(words)
+    return b" ".join(w for w in words[starts[k] : end] if w != STOP).decode("utf-8", "replace")
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str], name: str = "score", locate: bool = False) -> DataFrame:
+    """The given columns of each document and its probability of being toxic under ``name``; null text is empty.
+
+    With ``locate`` also ``LOCATED``: where in the text the offence is.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     text = "text" if "text" in columns else "__text"
 
@@ -213,13 +234,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
         weights, bias = sent.value
         known = _Weights(weights)
         for batch in batches:
-            found = [document_score(t.as_py() or "", known, bias) for t in batch.column(text)]
-            arrays = [batch.column(c) for c in columns] + [pa.array(found, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name])
+            texts = [t.as_py() or "" for t in batch.column(text)]
+            arrays = [batch.column(c) for c in columns]
+            if locate:
+                found = list(zip(*[located(t, known, bias) for t in texts], strict=True)) or [()] * 5
+                arrays += [pa.array(x, kind) for x, kind in zip(found, (pa.float64(), pa.int32(), pa.int32(), pa.float64(), pa.string()), strict=True)]
+            else:
+                arrays.append(pa.array([document_score(t, known, bias) for t in texts], pa.float64()))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name, *[c.split()[0] for c in LOCATED if locate]])
 
     named = [F.col(f"`{c}`") for c in columns]
     inputs = docs.select(*named) if text in columns else docs.select(*named, F.col("text").alias(text))
     schema = docs.select(*named).schema.add(name, "double")
+    for column in LOCATED if locate else ():
+        schema = schema.add(*column.split())
     return inputs.mapInArrow(run, schema)
 
 
@@ -235,9 +263,7 @@ def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], least:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 logits, words, starts, _ = sentence_scores(text.as_py() or "", known, bias)
                 for k in np.flatnonzero(1 / (1 + np.exp(-logits)) >= least):
-                    end = starts[k + 1] if k + 1 < len(starts) else len(words)
-                    said = b" ".join(w for w in words[starts[k] : end] if w != STOP).decode("utf-8", "replace")
-                    rows.append((doc_id, int(k), said, float(1 / (1 + np.exp(-logits[k])))))
+                    rows.append((doc_id, int(k), said(words, starts, k), float(1 / (1 + np.exp(-logits[k])))))
             columns = list(zip(*rows, strict=True)) or [[], [], [], []]
             types = (pa.int64(), pa.int32(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "sentence", "words", "score"])
@@ -246,12 +272,13 @@ def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], least:
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held: Column, train_docs: int = TRAIN_DOCS) -> DataFrame:
-    """A row for each document: doc_id, held_out, score, predicted (1 from 0.5 on).
+    """A row for each document: doc_id, held_out, score, predicted (1 from 0.5 on), and where its worst sentence is.
 
-    Learns from labelled rows that ``held`` leaves; without any toxic label all scores are next to
+    n_offending counts sentences whose own probability reaches 0.5; worst_sentence (number), worst_score and worst_words tell the worst,
+    the first of equals, and are null for a text without words. Learns from labelled rows that ``held`` leaves; without any toxic label all scores are next to
     0. Null and empty texts score 0. A null id has no label and is scored; repeated rows are
     scored each; an empty table gives no rows.
     """
     model = learn(docs, labels, ~held, train_docs)
-    found = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text"), model, ["doc_id", "held_out"])
+    found = score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), held.alias("held_out"), "text"), model, ["doc_id", "held_out"], locate=True)
     return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

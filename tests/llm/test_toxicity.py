@@ -78,3 +78,24 @@ def test_without_toxic_labels(spark):
     none = toxicity(docs, labels.where("toxic = 0"), held_out(F.col("doc_id"), 5, 0))
     assert none.agg(F.max("predicted")).first()[0] == 0
     assert toxicity(docs.limit(0), labels.limit(0), held_out(F.col("doc_id"), 5, 0)).count() == 0
+
+
+def test_the_worst_sentence_is_told(spark):
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t, 0.0, "") for i, t, _ in rows] + [(9001, None, 0.0, ""), (9002, " . ", 0.0, "")], DOCS)
+    labels = spark.createDataFrame([(i, y, "") for i, _, y in rows], LABELS)
+    got = {r.doc_id: r for r in toxicity(docs, labels, held_out(F.col("doc_id"), 5, 0)).collect()}
+    assert {"doc_id", "held_out", "score", "predicted", "n_offending", "worst_sentence", "worst_score", "worst_words"} == set(got[0].asDict())
+    assert all((got[k].score, got[k].n_offending, got[k].worst_sentence, got[k].worst_words) == (0.0, 0, None, None) for k in (9001, 9002))
+    model = learn(docs, labels, ~held_out(F.col("doc_id"), 5, 0))
+    offending = {}
+    for r in offending_sentences(docs, model).collect():
+        offending.setdefault(r.doc_id, []).append((-r.score, r.sentence, r.words))
+    for i, text, _ in rows:
+        worst = min(offending[i]) if i in offending else None
+        assert got[i].n_offending == len(offending.get(i, []))
+        if worst:
+            assert (-got[i].worst_score, got[i].worst_sentence, got[i].worst_words) == worst
+        assert got[i].worst_words in " ".join(w.decode() for w in tokens(text)) and got[i].worst_score <= got[i].score + 1e-12
+    caught = [i for i, _, y in rows if y and got[i].predicted]
+    assert len(caught) > 100 and sum(any(b in got[i].worst_words.split() for b in BAD) for i in caught) > 0.95 * len(caught)
