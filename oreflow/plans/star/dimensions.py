@@ -8,7 +8,7 @@ from oreflow.operators.dedup import keep_last
 from oreflow.operators.gold import scd1, scd2_merge, scd2_open
 from oreflow.operators.upsert import insert_if_absent, upsert
 from oreflow.plans.star.registry import query, table
-from oreflow.sources.table import newer_than, next_mark
+from oreflow.sources.table import newer_than, next_compound_mark, next_mark, past_mark
 
 MARK = "2024-01-15 00:00:00"
 _AT = "2024-06-01T00:00:00"
@@ -35,6 +35,25 @@ def watermark_next(spark, sf_dir):
     return next_mark(table(spark, sf_dir, "events"), "ts").select(_micros("mark").alias("mark"))
 
 
+@query(
+    f"""WITH e AS (SELECT event_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events),
+             first AS (SELECT * FROM e WHERE day < '{MARK[:10]}' OR (day = '{MARK[:10]}' AND event_id <= (SELECT median(event_id) FROM e WHERE day = '{MARK[:10]}'))),
+             mark AS (SELECT day, event_id FROM first ORDER BY day DESC, event_id DESC LIMIT 1)
+        SELECT 1 AS load, count(*) AS rows, count(DISTINCT event_id) AS ids FROM first
+        UNION ALL
+        SELECT 2, count(*), count(DISTINCT e.event_id) FROM e, mark WHERE e.day > mark.day OR (e.day = mark.day AND e.event_id > mark.event_id)"""
+)
+def increment_ties(spark, sf_dir):
+    """Two loads by day and id; the first ends within a day, whose other rows the second one reads."""
+    events = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("date").cast("string").alias("day"))
+    middle = events.where(F.col("day") == MARK[:10]).agg(F.expr("median(event_id)")).first()[0]
+    first = events.where((F.col("day") < MARK[:10]) | (F.col("day") == MARK[:10]) & (F.col("event_id") <= middle))
+    mark = next_compound_mark(first, "day", "event_id").first()["mark"]
+    second = past_mark(events, "day", "event_id", tuple(mark) if mark else None)
+    loads = first.select(F.lit(1).alias("load"), "event_id").unionByName(second.select(F.lit(2).alias("load"), "event_id"))
+    return loads.groupBy("load").agg(F.count("*").alias("rows"), F.countDistinct("event_id").alias("ids"))
+
+
 def _catalogue(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
 

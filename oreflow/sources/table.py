@@ -53,6 +53,24 @@ def newer_than(df: DataFrame, cursor: str, since: object, inclusive: bool = Fals
     return df.where(F.col(cursor) >= since if inclusive else F.col(cursor) > since)
 
 
+def past_mark(df: DataFrame, cursor: str, key: str, mark: tuple | None) -> DataFrame:
+    """Rows past a compound mark, the (cursor, key) of the last row read; all that have a cursor without a mark.
+
+    Rows of the mark's own time are neither missed nor read twice. The plain bound on the cursor stands first, so
+    that the scan can leave out files by it.
+    """
+    if mark is None:
+        return df.where(F.col(cursor).isNotNull())
+    time, last = mark
+    return df.where(F.col(cursor) >= time).where((F.col(cursor) > time) | (F.col(key) > last))
+
+
+def next_compound_mark(df: DataFrame, cursor: str, key: str) -> DataFrame:
+    """Highest (cursor, key) as one row ``mark`` (a struct), the compound mark of the next run; null without rows."""
+    seen = df.where(F.col(cursor).isNotNull())
+    return seen.agg(F.max(F.struct(F.col(cursor).alias("cursor"), F.col(key).alias("key"))).alias("mark"))
+
+
 def next_mark(df: DataFrame, cursor: str) -> DataFrame:
     """Highest cursor value, the mark of the next run; one row."""
     return df.agg(F.max(cursor).alias("mark"))

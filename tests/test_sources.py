@@ -18,7 +18,7 @@ from oreflow.sinks.export import write_json, write_orders_csv
 from oreflow.sinks.partitions import replace_day, replace_days
 from oreflow.sources.days import available_days, read_days, replay, replay_rows, unread_files
 from oreflow.sources.landing import ORDINAL, read_customers, read_orders
-from oreflow.sources.table import newer_than, read_products, read_sqlite
+from oreflow.sources.table import newer_than, next_compound_mark, past_mark, read_products, read_sqlite
 
 HEADER = "order_id,customer_id,product_id,order_date,quantity,unit_price,status\n"
 
@@ -126,6 +126,18 @@ def test_mark_is_strict_unless_inclusive(spark):
     assert (newer_than(df, "u", "b").count(), newer_than(df, "u", "b", inclusive=True).count()) == (1, 2)
 
 
+def test_compound_mark_reads_ties_once(spark):
+    rows = [("d1", 1), ("d1", 2), ("d2", 1), ("d2", 2), ("d2", 3), (None, 4)]
+    df, seen, mark = spark.createDataFrame(rows, "u string, k int"), [], None
+    for upto in (("d1", 2), ("d2", 2), ("d2", 3), ("d9", 9)):
+        there = df.where(F.col("u").isNull() | (F.struct("u", "k") <= F.struct(F.lit(upto[0]).alias("u"), F.lit(upto[1]).alias("k"))))
+        new = past_mark(there, "u", "k", mark)
+        seen += [tuple(r) for r in new.collect()]
+        found = next_compound_mark(new, "u", "k").first()["mark"]
+        mark = tuple(found) if found else mark
+    assert sorted(seen) == rows[:5] and mark == ("d2", 3)
+
+
 def test_replace_day_and_days(spark, tmp_path):
     path = str(tmp_path / "t")
     assert replace_day(spark.range(5), path, "2025-01-01") == 5
