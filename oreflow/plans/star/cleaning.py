@@ -165,16 +165,16 @@ def validate_text_orders(spark, sf_dir):
             FROM (SELECT *, {ORDER_REASONS_SQL} AS reasons FROM ({TEXT_ORDERS_SQL})))
         GROUP BY 1, 2
         UNION ALL
-        SELECT true, 'total amount', CAST(sum(CAST(CAST(quantity AS DOUBLE) * CAST(unit_price AS DOUBLE) AS DECIMAL(18,2))) AS BIGINT)
+        SELECT true, 'total amount', CAST(floor(sum(CAST(CAST(quantity AS DOUBLE) * CAST(unit_price AS DOUBLE) AS DECIMAL(18,2)))) AS BIGINT)
         FROM (SELECT *, {ORDER_REASONS_SQL} AS reasons FROM ({TEXT_ORDERS_SQL})) WHERE reasons = ''"""
 )
 def validate_split(spark, sf_dir):
     """Orders as text, judged in one pass and one write; the counts of the reasons come with that write."""
     found = split(text_orders(spark, sf_dir), ORDERS, shared_folder(spark, "checked"), "2024-06-01T00:00:00")
     counts = [(False, m, n) for m, n in found.reasons.items()] + [(True, "none", found.rows - found.refused)]
-    total = found.good.agg(exact_sum(F.col("quantity") * F.col("unit_price")).cast("long").alias("rows"))
+    total = found.good.agg(exact_sum(F.col("quantity") * F.col("unit_price")).alias("total"))
     told = spark.createDataFrame(counts, "good boolean, reason string, rows long")
-    return told.unionByName(total.select(F.lit(True).alias("good"), F.lit("total amount").alias("reason"), "rows"))
+    return told.unionByName(total.select(F.lit(True).alias("good"), F.lit("total amount").alias("reason"), F.floor("total").cast("long").alias("rows")))
 
 
 _CUSTOMER_REASONS_SQL = """
