@@ -28,7 +28,7 @@ from oreflow.llm.packing import Encoder
 #: Bytes of text aligned at once; a longer text is aligned alone.
 ALIGNED = 1 << 20
 #: Bytes in which a worker remembers the words of one tokenizer.
-REMEMBERED = 200 << 20
+REMEMBERED = 128 << 20
 BROADCAST_PAIRS = 200_000
 
 

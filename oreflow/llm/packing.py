@@ -27,7 +27,7 @@ END_ID = 0
 #: Pieces numbered in one group.
 GROUP_ROWS = 50_000
 #: Bytes in which a Python worker remembers encoded chunks, of texts' begins and of what follows a space, and signs.
-REMEMBERED = {"first": 40 << 20, "rest": 200 << 20, "signs": 4 << 20}
+REMEMBERED = {"first": 24 << 20, "rest": 128 << 20, "signs": 4 << 20}
 #: Letters, and ASCII signs behind them.
 _WORD_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
