@@ -74,7 +74,7 @@ class Remembered(dict):
 
     def __init__(self, bound: int, longest: int = 64):
         super().__init__()
-        self.bound, self.longest, self.size, self.older = bound, longest, 0, {}
+        self.half, self.longest, self.size, self.older = bound // 2, longest, 0, {}
 
     def recall(self, key):
         """The value from the older half, or None; to be called for keys that the dictionary lacks."""
@@ -86,12 +86,11 @@ class Remembered(dict):
     def keep(self, key, value) -> None:
         if len(key) > self.longest:
             return
-        size = 220 + 4 * len(key) + (len(value) if type(value) is bytes else 0)  # with the entry itself
-        if 2 * (self.size + size) > self.bound:
+        self.size += 220 + 4 * len(key) + (len(value) if type(value) is bytes else 0)  # with the entry itself
+        if self.size > self.half:
             self.older, self.size = dict(self), 0
             self.clear()
         self[key] = value
-        self.size += size
 
 
 def small(df: DataFrame, row_bytes: int, bound: int = BROADCAST_BYTES) -> bool:

@@ -27,7 +27,7 @@ END_ID = 0
 #: Pieces numbered in one group.
 GROUP_ROWS = 50_000
 #: Bytes in which a Python worker remembers encoded chunks, of texts' begins and of what follows a space, and signs.
-REMEMBERED = {"first": 24 << 20, "rest": 128 << 20, "signs": 4 << 20}
+REMEMBERED = {"first": 24 << 20, "rest": 176 << 20, "signs": 4 << 20}
 #: Letters, and ASCII signs behind them.
 _WORD_SIGNS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
 
@@ -64,7 +64,9 @@ class _Chunks(Remembered):
             if all(x and not x[0].isspace() and not x[-1].isspace() for x in lines):
                 return self.line.join([self[head], *map(self.first.__getitem__, tail)])
         elif (found := _WORD_SIGNS.fullmatch(chunk)) and found[1].isalpha():
-            signs = self.signs.get(found[2]) or self.signs.recall(found[2])
+            signs = self.signs.get(found[2])
+            if signs is None:
+                signs = self.signs.recall(found[2])
             if signs is None:
                 signs = self._merged([p for p, _ in self.split(found[2])])
                 self.signs.keep(found[2], signs)
@@ -72,11 +74,12 @@ class _Chunks(Remembered):
         return self._merged([p for p, _ in self.split(self.lead + chunk)])
 
     def __missing__(self, chunk: str) -> bytes:
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
-            raise LookupError(chunk)
-        ids = self.recall(chunk)
+        ids = self.older.get(chunk)
         if ids is None:
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace() or "<|" in chunk:
+                raise LookupError(chunk)
             ids = self._made(chunk)
+        if len(chunk) <= self.longest:
             self.keep(chunk, ids)
         return ids
 
