@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from oreflow.functions.hashing import row_hash
 from oreflow.operators.shape import drop_technical
 from oreflow.operators.upsert import upsert
 
+# The end of open versions, the fields whose change opens one, the columns of a history.
 HIGH_DATE = "9999-12-31"
 TRACKED = ("city", "country", "email")
 HISTORY_COLUMNS = ("_eff_start", "_eff_end", "_current", "_row_hash")
@@ -90,6 +92,42 @@ def scd2_merge(
     return pair.select(F.inline(versions))
 
 
+def scd2_changes(current: DataFrame, opened: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Keys for which a version opens: those that ``current`` lacks or has with another hash.
+
+    Keys and hashes alone meet; no other column is read from stored sides. A null key is a key like others.
+    """
+    columns = [*key, "_row_hash"]
+    return opened.select(*columns).join(_as_marks(current, columns), _meets(columns), "left_anti").select(*key)
+
+
+def scd2_apply(current: DataFrame, opened: DataFrame, changes: DataFrame, key: Sequence[str], effective_date: str) -> DataFrame:
+    """The open rows of :func:`scd2_merge`, given the keys for which a version opens.
+
+    ``changes`` should be stored: when it is small the planner makes it a broadcast, and no row of a side moves.
+    """
+    marks = _as_marks(changes, key)
+    met = F.col("_met").isNotNull()
+    closing = {
+        "_eff_end": F.when(met, F.greatest(F.lit(effective_date), F.col("_eff_start").cast("string"))).otherwise(F.col("_eff_end")),
+        "_current": ~met & F.col("_current"),
+    }
+    kept = current.join(marks.withColumn("_met", F.lit(True)), _meets(key), "left").withColumns(closing).select(*[f"`{c}`" for c in current.columns])
+    types = {f.name: f.dataType for f in current.schema.fields}
+    fresh = opened.join(marks, _meets(key), "left_semi")
+    fresh = fresh.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in opened.columns])
+    rows = kept.unionByName(fresh, allowMissingColumns=True)
+    return rows.select(*[f"`{c}`" for c in rows.columns if c not in HISTORY_COLUMNS], *HISTORY_COLUMNS)
+
+
+def _as_marks(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"`{c}`").alias(f"_mark_{n}") for n, c in enumerate(columns)])
+
+
+def _meets(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.col(f"_mark_{n}")) for n, c in enumerate(columns)])
+
+
 def fact_orders(silver: DataFrame) -> DataFrame:
     """Order lines with a timestamp and the line total; a missing price gives a null total."""
     rows = drop_technical(silver)

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from oreflow.contracts import PRODUCTS
+from oreflow.contracts import CUSTOMERS, PRODUCTS
 from oreflow.operators.gold import TRACKED
 from oreflow.sinks.buckets import Buckets
 from oreflow.sinks.snapshots import History, Snapshot
@@ -28,6 +28,7 @@ class Layout:
     inclusive_mark: bool = False
     product_partitions: int = 1
     product_buckets: int = 16  # of the product dimension, when it is first written
+    customer_buckets: int = 16  # of the customer history's open rows, when it is first written
     customer_schema: str | None = None
     customer_array: bool = True  # one JSON array per file, or else JSON lines
     keep_versions: int = 2
@@ -85,4 +86,4 @@ class Layout:
         return Buckets(spark, f"{self.gold}/dim_product", PRODUCTS.key, self.product_buckets)
 
     def dim_customer(self, spark: SparkSession) -> History:
-        return History(spark, f"{self.gold}/dim_customer")
+        return History(spark, f"{self.gold}/dim_customer", CUSTOMERS.key, self.customer_buckets)

@@ -19,8 +19,7 @@ from oreflow import fs
 from oreflow.contracts import CUSTOMERS, ORDERS, PRODUCTS, Contract
 from oreflow.operators.days import backfill_days
 from oreflow.operators.dedup import keep_last
-from oreflow.operators.gold import fact_orders, scd1, scd2_merge, scd2_open
-from oreflow.operators.shape import drop_technical
+from oreflow.operators.gold import fact_orders, scd1
 from oreflow.operators.validate import split
 from oreflow.plans.layout import Layout
 from oreflow.plans.state import RunState
@@ -44,6 +43,7 @@ class DailyRun:
         self.at = now.isoformat()
         self.effective_date = effective_date or now.date().isoformat()
         self.state = RunState(spark, layout.state)
+        self.seen_mark: str | None = None
         self.new_mark: str | None = None
         #: For each silver stage, how often each reason to refuse a row occurred.
         self.reasons: dict[str, Counts] = {}
@@ -61,7 +61,7 @@ class DailyRun:
 
     def ingest_products(self) -> Counts:
         """Changed products. Without any, bronze keeps the previous delta."""
-        since = self.state.mark(PRODUCT_MARK)
+        since = self.seen_mark = self.state.mark(PRODUCT_MARK)
         rows = read_products(
             self.spark,
             self.layout.landing_products_db,
@@ -128,13 +128,7 @@ class DailyRun:
         silver, gold = self._silver("customers"), self.layout.dim_customer(self.spark)
         if not silver.exists():
             return {}
-        incoming = drop_technical(silver.read())
-        if not gold.exists():
-            return {"written": gold.write(scd2_open(incoming, self.layout.tracked, self.effective_date))}
-        merged = scd2_merge(
-            gold.read_open(), incoming, CUSTOMERS.key, self.layout.tracked, self.effective_date
-        )
-        return {"written": gold.write(merged)}
+        return {"written": gold.merge(silver.read(), self.layout.tracked, self.effective_date)}
 
     def fact_orders(self) -> Counts:
         path = f"{self.layout.silver}/orders/date={self.date}"
@@ -146,7 +140,7 @@ class DailyRun:
     def finish(self) -> None:
         """After all stages: move the mark, drop folders nothing points to any more."""
         if self.new_mark is not None:
-            self.state.set_mark(PRODUCT_MARK, self.new_mark)
+            self.state.set_mark(PRODUCT_MARK, self.new_mark, self.seen_mark)
         for table in (
             *[t for n in ("customers", "products") for t in (self._bronze(n), self._silver(n))],
             self.layout.dim_product(self.spark),

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from oreflow import fs
 from oreflow.contracts import EXPORT_CUSTOMERS, MALFORMED, ORDERS
 from oreflow.functions.money import exact_sum
-from oreflow.operators.gold import scd2_merge, scd2_open
 from oreflow.plans.star.registry import exported_customers, exported_orders, query, table
 from oreflow.session import shared_folder
 from oreflow.sinks.buckets import Buckets
@@ -118,15 +117,35 @@ def export_customers_json(spark, sf_dir):
 )
 def scd2_stored(spark, sf_dir):
     """Two loads of a stored customer history and an unchanged third one."""
-    history = History(spark, shared_folder(spark, "dim-customer"))
+    history = History(spark, shared_folder(spark, "dim-customer"), ["c_custkey"])
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    history.write(scd2_open(customers, ["c_mktsegment"], "2024-01-01"))
+    history.merge(customers, ["c_mktsegment"], "2024-01-01")
     moved = customers.withColumn("c_mktsegment", F.regexp_replace("c_mktsegment", "^BUILDING$", "TOOLS"))
     for day in ("2024-02-01", "2024-03-01"):
-        history.write(scd2_merge(history.read_open(), moved, ["c_custkey"], ["c_mktsegment"], day))
+        history.merge(moved, ["c_mktsegment"], day)
     return history.read().groupBy("_current", "_eff_start", "_eff_end").agg(F.count("*").alias("rows"))
 
 
+@query(
+    """SELECT c_custkey AS key, CASE c_mktsegment WHEN 'BUILDING' THEN 'TOOLS' ELSE c_mktsegment END AS segment, c_name AS name, c_acctbal AS balance,
+              CASE c_mktsegment WHEN 'BUILDING' THEN '2024-02-01' ELSE '2024-01-01' END AS eff_start,
+              CASE WHEN c_nationkey % 2 = 0 THEN '2024-03-05' ELSE '9999-12-31' END AS eff_end
+       FROM customer
+       UNION ALL SELECT -c_custkey - 1, 'NEW', c_name, c_acctbal, '2024-02-01', '9999-12-31' FROM customer WHERE c_nationkey < 5"""
+)
+def scd2_as_of(spark, sf_dir):
+    """Three loads of a stored customer history, the last for some keys only, and what held between the last two."""
+    history = History(spark, shared_folder(spark, "dim-customer-as-of"), ["key"])
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"), "c_nationkey")
+    moved = customers.withColumn("segment", F.regexp_replace("segment", "^BUILDING$", "TOOLS"))
+    new = customers.where("c_nationkey < 5").withColumns({"key": -F.col("key") - 1, "segment": F.lit("NEW")})
+    last = customers.where("c_nationkey % 2 = 0").withColumns({"segment": F.lit("LAST"), "name": F.lit("unseen")})
+    for rows, day in ((customers, "2024-01-01"), (moved.unionByName(new), "2024-02-01"), (last, "2024-03-05")):
+        history.merge(rows.drop("c_nationkey"), ["segment"], day)
+    held = history.read_as_of("2024-02-15")
+    return held.select("key", "segment", "name", "balance", F.col("_eff_start").alias("eff_start"), F.col("_eff_end").alias("eff_end"))
+
+
 @query(
     """SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS rows,
               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount

@@ -1,0 +1,162 @@
+"""Stored histories: what a merge touches, how closed parts are united, and two writers at once."""
+
+from __future__ import annotations
+
+import random
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreflow.errors import CommitConflict
+from oreflow.operators.gold import scd2_changes, scd2_open
+from oreflow.plans.state import RunState
+from oreflow.sinks import versions
+from oreflow.sinks.snapshots import History, Snapshot, due
+from oreflow.sinks.versions import Versions
+
+TRACKED = ["city"]
+
+
+def load(spark, cities, extra=None):
+    return spark.createDataFrame([(k, c, f"n{k}") for k, c in cities.items()], "k int, city string, name string").coalesce(2)
+
+
+def content(df):
+    return sorted((r.k, r.city, r._eff_start, r._eff_end) for r in df.collect())
+
+
+def test_merges_equal_brute_force_at_every_day(spark, tmp_path):
+    source, state = random.Random(5), {}
+    table = History(spark, str(tmp_path / "h"), ["k"], 4)
+    days = ["2023-12-30", "2023-12-31", "2024-01-10", "2024-01-20", "2024-02-01", "2024-02-02"]
+    for day in days:
+        snapshot = {k: source.choice("xyz") for k in range(30) if source.random() < 0.8}
+        for k, city in snapshot.items():
+            open_ = state.setdefault(k, [])
+            if open_ and open_[-1][0] == city:
+                continue
+            if open_:
+                open_[-1][2] = day
+            open_.append([city, day, "9999-12-31"])
+        table.merge(load(spark, snapshot), TRACKED, day)
+    want = sorted((k, *v) for k, held in state.items() for v in held)
+    assert content(table.read()) == want
+    assert content(table.read_open()) == [w for w in want if w[3] == "9999-12-31"]
+    for day in (*days, "2023-12-01", "2024-01-15", "2024-05-01"):
+        assert content(table.read_as_of(day)) == [w for w in want if w[2] <= day < w[3]]
+    assert table.state()["version"] > len(days)  # some parts were united
+    table.discard_old(1)
+    assert content(table.read()) == want
+
+
+def test_a_merge_touches_only_buckets_in_which_a_version_opens(spark, tmp_path):
+    table = History(spark, str(tmp_path / "h"), ["k"], 16)
+    assert not table.exists() and table.merge(load(spark, dict.fromkeys(range(1000), "a")), TRACKED, "2024-01-01") == 1000
+    before = table.state()
+    assert table.merge(load(spark, dict.fromkeys(range(500), "a")), TRACKED, "2024-01-02") == 0 and table.state() == before
+    written = table.merge(load(spark, dict.fromkeys(range(500), "a") | {3: "b", 5000: "c"}), TRACKED, "2024-01-03")
+    after = table.state()
+    changed = {b for b in after["open"] if after["open"][b] != before["open"].get(b)}
+    assert 1 <= len(changed) <= 2 and written < 300 and len(after["closed"]) == 1
+    assert [p.name for p in Path(tmp_path / "h").iterdir() if p.name.endswith("changes")] == []
+    late = spark.createDataFrame([(3, "d", 1.5), (None, "e", 2.5)], "k long, city string, more double")  # another type, another column, a null key
+    table.merge(late, TRACKED, "2024-01-04")
+    table.merge(late, TRACKED, "2024-01-05")
+    got = {(r.k, r.city, r.more, r._eff_end) for r in table.read().where("k = 3 OR k IS NULL").collect()}
+    assert got == {(3, "a", None, "2024-01-03"), (3, "b", None, "2024-01-04"), (3, "d", 1.5, "9999-12-31"), (None, "e", 2.5, "9999-12-31")}
+
+
+def test_only_keys_and_hashes_meet(spark, tmp_path):
+    scd2_open(load(spark, {1: "a"}), TRACKED, "2024-01-01").write.parquet(str(tmp_path / "old"))
+    load(spark, {1: "b"}).write.parquet(str(tmp_path / "new"))
+    old, new = spark.read.parquet(str(tmp_path / "old")), scd2_open(spark.read.parquet(str(tmp_path / "new")), TRACKED, "2024-01-02")
+    plan = scd2_changes(old, new, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:int,_row_hash:string>" in plan and "ReadSchema: struct<k:int,city:string>" in plan and "name" not in plan
+
+
+def test_fifty_merges_leave_few_parts(spark, tmp_path):
+    table = History(spark, str(tmp_path / "h"), ["k"], 2)
+    days = [f"2023-{12 if n < 31 else 13:02d}-{n % 31 + 1:02d}".replace("2023-13", "2024-01") for n in range(50)]
+    for n, day in enumerate(days):
+        table.merge(load(spark, {0: f"c{n}", 1: "same"}), TRACKED, day)
+        assert len(table.state()["closed"]) <= 16
+    state = table.state()
+    assert len(state["closed"]) <= 8 and table.read().count() == 51
+    assert content(table.read_as_of(days[20])) == [(0, "c20", days[20], days[21]), (1, "same", days[0], "9999-12-31")]
+    opened = [p for p in state["closed"] if p["start"] <= days[45] < p["last"]]
+    assert len(opened) < len(state["closed"])
+    table.discard_old(1)
+    assert table.read().count() == 51
+
+
+def test_due():
+    part = lambda last, level=0: {"folder": last + str(level), "last": last, "level": level}
+    assert due([]) == [] and due([part("2024-01-01")] * 7) == []
+    assert len(due([part("2024-01-01")] * 8)) == 8
+    assert due([part("2024-01-01")] * 7 + [part("2024-01-01", 1)] * 7) == []
+    over = [part("2024-01-05"), part("2024-01-06", 1)]
+    assert due([*over, part("2024-02-01")]) == over
+    assert due([part("2023-01-05"), part("2023-09-06"), part("2024-02-01")]) == [part("2023-01-05"), part("2023-09-06")]
+
+
+def between(monkeypatch, other):
+    """Let another writer commit once while the first one is about to."""
+    real, met = versions.fs.create_text, []
+
+    def create(session, path, text):
+        if not met:
+            met.append(path)
+            other()
+        return real(session, path, text)
+
+    monkeypatch.setattr(versions.fs, "create_text", create)
+
+
+def test_two_merges_lose_nothing(spark, tmp_path, monkeypatch):
+    one, other = (History(spark, str(tmp_path / "h"), ["k"], 2) for _ in range(2))
+    one.merge(load(spark, {1: "a", 2: "a"}), TRACKED, "2024-01-01")
+    with monkeypatch.context() as patch:
+        between(patch, lambda: other.merge(load(spark, {1: "x", 9: "x"}), TRACKED, "2024-01-02"))
+        one.merge(load(spark, {2: "b"}), TRACKED, "2024-01-03")
+    high = "9999-12-31"
+    want = [(1, "a", "2024-01-01", "2024-01-02"), (1, "x", "2024-01-02", high), (2, "a", "2024-01-01", "2024-01-03"), (2, "b", "2024-01-03", high), (9, "x", "2024-01-02", high)]
+    assert content(one.read()) == want
+    with monkeypatch.context() as patch:
+        between(patch, lambda: other.merge(load(spark, {2: "c"}), TRACKED, "2024-01-04"))
+        with pytest.raises(CommitConflict):
+            one.write(one.read_open().where("k <> 9"))
+    assert {r.k: r.city for r in one.read_open().collect()} == {1: "x", 2: "c", 9: "x"}
+
+
+def test_two_snapshot_writers_have_folders_of_their_own(spark, tmp_path, monkeypatch):
+    one, other = (Snapshot(spark, str(tmp_path / "t")) for _ in range(2))
+    one.write(spark.range(1))
+    with monkeypatch.context() as patch:
+        between(patch, lambda: other.write(spark.range(2)))
+        assert one.write(spark.range(3)) == 3
+    assert one.read().count() == 3 and Versions(spark, one.path, "_version-").numbers() == [1, 2, 3]
+
+
+def test_marks_of_two_runs(spark, tmp_path, monkeypatch):
+    one, other = (RunState(spark, str(tmp_path / "s")) for _ in range(2))
+    assert one.marks() == {} and one.mark("a") is None
+    with monkeypatch.context() as patch:
+        between(patch, lambda: other.set_mark("b", "2"))
+        one.set_mark("a", "1", None)
+    assert one.marks() == {"a": "1", "b": "2"}
+    other.set_mark("a", "5", "1")
+    with pytest.raises(CommitConflict):
+        one.set_mark("a", "3", "1")
+    for n in range(30):
+        one.set_mark("c", str(n))
+    assert one.marks() == {"a": "5", "b": "2", "c": "29"} and len(one._versions.numbers()) == 20
+
+
+def test_empty_loads(spark, tmp_path):
+    table = History(spark, str(tmp_path / "h"), ["k"], 2)
+    assert table.merge(load(spark, {}), TRACKED, "2024-01-01") == 0
+    assert table.exists() and table.read().count() == 0 and table.read_as_of("2024-01-01").count() == 0
+    table.merge(load(spark, {1: "a"}), TRACKED, "2024-01-02")
+    assert table.merge(load(spark, {}), TRACKED, "2024-01-03") == 0
+    assert table.read().where(F.col("_current")).count() == 1
