@@ -31,9 +31,14 @@ def day_range(spark: SparkSession, start: str, days: int) -> DataFrame:
 def days_covered(df: DataFrame, day: Column) -> DataFrame:
     """Every day between the first and the last one in ``df``, as :func:`day_range`."""
     bounds = df.select(day.alias("d")).agg(F.min("d").alias("first"), F.max("d").alias("last"))
-    n_days = (F.datediff("last", "first") + 1).alias("n_days")
-    return bounds.select(n_days, F.posexplode(F.sequence("first", "last")).alias("day_index", "date")).select(
-        F.col("date").cast("string").alias("date"), "day_index", "n_days"
+    months = F.sequence(F.trunc("first", "month"), F.trunc("last", "month"), F.expr("INTERVAL 1 MONTH"))
+    # One row a month is dealt out before it becomes days, as one stray date can make the range long.
+    dealt = bounds.select("first", "last", F.explode(months).alias("month")).repartition("month")
+    within_month = F.sequence(F.greatest("month", "first"), F.least(F.last_day("month"), "last"))
+    return dealt.select("first", "last", F.explode(within_month).alias("date")).select(
+        F.col("date").cast("string").alias("date"),
+        F.datediff("date", "first").alias("day_index"),
+        (F.datediff("last", "first") + 1).alias("n_days"),
     )
 
 

@@ -27,6 +27,7 @@ class Layout:
     amount_bounds: tuple[float, float] | None = None
     inclusive_mark: bool = False
     product_partitions: int = 1
+    product_table: str | None = None  # a Parquet folder, read instead of the database file
     product_buckets: int = 16  # of the product dimension, when it is first written
     customer_buckets: int = 16  # of the customer history's open rows, when it is first written
     customer_schema: str | None = None

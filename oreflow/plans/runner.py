@@ -64,11 +64,12 @@ class DailyRun:
         since = self.seen_mark = self.state.mark(PRODUCT_MARK)
         rows = read_products(
             self.spark,
-            self.layout.landing_products_db,
+            self.layout.product_table or self.layout.landing_products_db,
             since,
             self.at,
             self.layout.inclusive_mark,
             self.layout.product_partitions,
+            parquet=self.layout.product_table is not None,
         )
         if rows.isEmpty():
             return {"ingested": 0}

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from oreflow.functions.money import exact_sum
 from oreflow.plans.layout import Layout
 from oreflow.plans.runner import backfill
+from oreflow.plans.state import RunState
 from oreflow.plans.star.cleaning import ORDER_REASONS_SQL, TEXT_ORDERS_SQL, text_orders
 from oreflow.plans.star.registry import query, table
 from oreflow.session import shared_folder
@@ -33,6 +34,11 @@ def _landed(spark, sf_dir) -> tuple[Layout, list[dict]]:
     rows = text_orders(spark, sf_dir)
     rows = rows.unionByName(rows.where("l_linenumber = 1")).withColumn("day", F.when(F.col("l_orderkey") % 2 == 0, _FIRST).otherwise(_LAST))
     write_orders_csv(rows.select(*_COLUMNS, "day"), layout.landing_orders, day="day", keep_day=False)
+    _land_customers(spark, sf_dir, layout)
+    return layout, backfill(spark, layout, _LAST, 1, effective_date="2024-01-05")
+
+
+def _land_customers(spark, sf_dir, layout: Layout) -> None:
     customers = table(spark, sf_dir, "customer")
     named = customers.select(
         F.col("c_custkey").cast("string").alias("customer_id"),
@@ -44,7 +50,6 @@ def _landed(spark, sf_dir) -> tuple[Layout, list[dict]]:
         F.lit(None).cast("string").alias("tier"),
     )
     write_json(named, f"{layout.landing_customers}/customers.json")
-    return layout, backfill(spark, layout, _LAST, 1, effective_date="2024-01-05")
 
 
 _CUSTOMER_SCHEMA = (
@@ -104,3 +109,51 @@ def pipeline_run_history(spark, sf_dir):
         silver = counts.get("silver_orders", {})
         rows.append((record["date"], record["status"], counts.get("ingest_orders", {}).get("ingested"), *(silver.get(k) for k in ("quarantined", "deduped", "written"))))
     return spark.createDataFrame(rows, "date string, status string, ingested long, quarantined long, deduped long, written long")
+
+
+@query(
+    """SELECT date, status, names_column, orders, changed_products, silver_products, products FROM (
+           SELECT '2024-01-01' AS date, 'SUCCESS' AS status, false AS names_column, 0 AS third, 1 AS changes, true AS ran
+           UNION ALL SELECT '2024-01-02', 'FAIL', true, 1, NULL, false
+           UNION ALL SELECT '2024-01-03', 'SUCCESS', false, 2, 0, true) d
+       LEFT JOIN (SELECT l_orderkey % 3 AS third, count(*) AS orders FROM lineitem GROUP BY 1) o ON o.third = d.third AND d.ran,
+       LATERAL (SELECT changes * count(*) AS changed_products, CASE WHEN ran THEN count(*) END AS silver_products,
+                       CASE WHEN ran THEN count(*) END AS products FROM part)"""
+)
+def pipeline_products_and_drift(spark, sf_dir):
+    """Three days with products, of which the second lacks a column and the third has no product changes.
+
+    The second ends as a failure that names the column; the third leaves bronze products as they are, and the later
+    stages go over the previous delta once more.
+    """
+    root = shared_folder(spark, "flow-products")
+    layout = Layout(root, product_table=f"{root}/products", customer_array=False, customer_schema=_CUSTOMER_SCHEMA)
+    rows = text_orders(spark, sf_dir).withColumn("day", F.concat(F.lit("2024-01-0"), F.col("l_orderkey") % 3 + 1))
+    drifted = F.col("day") == "2024-01-02"
+    write_orders_csv(rows.where(~drifted).select(*_COLUMNS, "day"), layout.landing_orders, day="day", keep_day=False)
+    write_orders_csv(rows.where(drifted).select(*_COLUMNS[:-1], "day"), layout.landing_orders, day="day", keep_day=False)
+    _land_customers(spark, sf_dir, layout)
+    part, at = table(spark, sf_dir, "part"), F.date_add(F.lit("2023-12-01").cast("date"), (F.col("p_partkey") % 28).cast("int"))
+    products = part.select(
+        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_name").alias("name"),
+        F.col("p_type").alias("category"),
+        F.col("p_retailprice").alias("unit_cost"),
+        F.lit("S").alias("supplier_id"),
+        F.concat(at.cast("string"), F.lit("T00:00:00")).alias("updated_at"),
+    )
+    products.write.parquet(layout.product_table)
+    backfill(spark, layout, "2024-01-03", 2, effective_date="2024-01-05")
+
+    def count(stage: str, name: str):
+        return F.expr(f"get(filter(stages, s -> s.stage = '{stage}'), 0).counts['{name}']")
+
+    return RunState(spark, layout.state).history().select(
+        "date",
+        "status",
+        F.coalesce(F.col("error").contains("status"), F.lit(False)).alias("names_column"),
+        count("ingest_orders", "ingested").alias("orders"),
+        count("ingest_products", "ingested").alias("changed_products"),
+        count("silver_products", "written").alias("silver_products"),
+        count("dim_product", "written").alias("products"),
+    )

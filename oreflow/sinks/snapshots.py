@@ -80,8 +80,8 @@ class History:
     end and the first start, so that a read as of a day opens only parts that can hold rows of it.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int = BUCKETS):
-        self.spark, self.path, self.key, self.buckets = spark, path.rstrip("/"), list(key), buckets
+    def __init__(self, spark: SparkSession, path: str, key: Sequence[str], buckets: int = BUCKETS, fan: int = FAN):
+        self.spark, self.path, self.key, self.buckets, self.fan = spark, path.rstrip("/"), list(key), buckets, fan
         self._versions = Versions(spark, f"{self.path}/_versions", "")
 
     def state(self) -> dict:
@@ -184,13 +184,13 @@ class History:
         found = seen.get
         return found["rows"], {c: found[c] for c in ("first", "last", "start")}
 
-    def compact(self, fan: int = FAN) -> int:
+    def compact(self) -> int:
         """Unite closed parts where :func:`due` says so; returns how many went into others.
 
         The united part is its own version, so readers and merges go on meanwhile.
         """
         gone = 0
-        while group := due(self.state()["closed"], fan):
+        while group := due(self.state()["closed"], self.fan):
             state, part = self.state(), f"part-{uuid4().hex}"
             names = {p["folder"] for p in group}
             if not names <= {p["folder"] for p in state["closed"]}:

@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from oreflow import fs
 from oreflow.contracts import PRODUCTS
 from oreflow.errors import IngestionError
 from oreflow.operators.drift import require_columns
@@ -76,11 +77,22 @@ def next_mark(df: DataFrame, cursor: str) -> DataFrame:
     return df.agg(F.max(cursor).alias("mark"))
 
 
-def read_products(spark: SparkSession, path: str, since: str | None, ingested_at: str, inclusive: bool = False, partitions: int = 1) -> DataFrame:
+def read_products(
+    spark: SparkSession, path: str, since: str | None, ingested_at: str, inclusive: bool = False, partitions: int = 1, parquet: bool = False
+) -> DataFrame:
     """Products changed since the mark, with lineage and their place in the table.
 
-    The place decides between two changes of a product at the same time.
+    The place decides between two changes of a product at the same time. ``path`` is a SQLite file or, with
+    ``parquet``, a Parquet folder, of which the mark leaves out row groups by their bounds.
     """
-    rows = read_sqlite(spark, path, "products", "updated_at", since or FIRST_MARK, inclusive, partitions)
-    require_columns(rows, PRODUCTS.columns, "products")
+    since = since or FIRST_MARK
+    if parquet:
+        if not fs.exists(spark, path):
+            raise IngestionError(f"table not found: {path}")
+        rows = spark.read.parquet(path)
+        require_columns(rows, PRODUCTS.columns, "products")
+        rows = newer_than(rows, "updated_at", since, inclusive)
+    else:
+        rows = read_sqlite(spark, path, "products", "updated_at", since, inclusive, partitions)
+        require_columns(rows, PRODUCTS.columns, "products")
     return with_lineage(rows.withColumn(ORDINAL, F.monotonically_increasing_id()), ingested_at)

@@ -35,7 +35,7 @@ def test_entry(spark):
     assert spark_entry.entry(spark).columns == ["status", "orders", "total_amount"]
 
 
-WRITING = {"pipeline_fact", "pipeline_quarantine", "pipeline_dim_customer", "pipeline_run_history", "export_two_days", "export_customer_days", "partition_replace", "replay_files", "replay_limit", "export_orders_csv", "export_customers_json", "scd2_stored", "scd2_as_of", "quality_by_day"}
+WRITING = {"pipeline_fact", "pipeline_quarantine", "pipeline_dim_customer", "pipeline_run_history", "pipeline_products_and_drift", "export_two_days", "export_customer_days", "partition_replace", "replay_files", "replay_limit", "export_orders_csv", "export_customers_json", "scd2_stored", "scd2_as_of", "quality_by_day"}
 
 
 @pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITING))
