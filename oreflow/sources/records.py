@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from oreflow.errors import IngestionError
+from oreflow.session import stored_once
 
 # A value in quotes, doubled quotes in it, and what follows it up to the next comma.
 _INSIDE = r'[^"]*+(?:""[^"]*+)*+'
@@ -50,11 +51,16 @@ def leaves_open(text: Column) -> Column:
 
 def any_leaves_open(lines: DataFrame) -> bool:
     """Does any line leave a quote open? Also checks that all files begin with the same line. One pass over the text."""
-    first = F.min(F.struct("block", "at", "value", "name")).alias("first")
-    found = lines.groupBy("path").agg(first, F.max(leaves_open(F.col("value"))).alias("open")).collect()  # a row for each file
-    texts = {r.first.value.removeprefix("\ufeff"): r.first.name for r in found}
-    if len(texts) > 1:
-        raise IngestionError(f"files differ in their header: {sorted(texts.values())[:2]}")
+    begin = lines.where("block = 0").first()
+    if begin is None:
+        return False
+    # Numbers only, so that lines are counted in place; the least of texts would have all of them sorted.
+    header, at = begin["value"].removeprefix("\ufeff"), F.when(F.col("block") == 0, F.col("at"))
+    same = F.col("value").isin(header, f"\ufeff{header}")
+    found = lines.groupBy("path", "name").agg(F.min(at).alias("first"), F.min(F.when(same, at)).alias("header"), F.max(leaves_open(F.col("value"))).alias("open")).collect()  # a row for each file
+    names = {r.first == r.header: r.name for r in sorted(found, key=lambda r: r.name, reverse=True)}
+    if len(names) > 1:
+        raise IngestionError(f"files differ in their header: {sorted(names.values())}")
     return any(r.open for r in found)
 
 
@@ -102,25 +108,31 @@ def records(lines: DataFrame, fields: int) -> DataFrame:
     ``lines`` must be stored: other tasks, or the same on another number of cores, would cut and number the files
     differently. Lines of a record are joined by ``\\n``. Only blocks that a record of several lines touches are shuffled.
     """
-    first = lines.groupBy("path").agg(F.min(F.struct("block", "at")).alias("first")).select("path", "first.block", "first.at")  # a row for each file
-    lines, told = lines.join(first, list(_LINE), "left_anti"), F.trim("value") != ""
-    found = spans(lines, fields)
+    files = lines.where("block = 0").groupBy("path", "name").agg(F.min("at").alias("at")).collect()  # a row for each file
+    # Files go by number, as each line that moves carries its file.
+    numbers = lines.sparkSession.createDataFrame([(r.path, r.name, k, r.at) for k, r in enumerate(files)], "path string, name string, file int, first long")
+    known = F.broadcast(numbers)
+    lines = lines.join(known.select("path", F.col("file").alias("number"), "first"), "path").where((F.col("block") != 0) | (F.col("at") != F.col("first")))
+    lines, told = lines.select("value", F.col("number").alias("path"), "block", "at"), F.trim("value") != ""
+    # What is read several times is stored, or each reader would shuffle for itself.
+    found = stored_once(spans(lines, fields), "record-spans")
     mark = F.struct("start", "end").alias("mark")
     begins = found.select("path", F.col("start.block").alias("block"), F.col("start.at").alias("at"), mark)
     # A record that goes on in a later block is told at the head of that block; at most one does.
-    blocks = lines.select("path", "block").distinct()
+    blocks = F.broadcast(lines.select("path", "block").distinct())
     wide = found.where(F.col("start.block") < F.col("end.block"))
     inside = (F.col("block") > F.col("start.block")) & (F.col("block") <= F.col("end.block"))
     begins = begins.unionByName(blocks.join(wide, "path").where(inside).select("path", "block", F.lit(-1).cast("long").alias("at"), mark))
-    touched = begins.select("path", "block").distinct()
+    touched = F.broadcast(begins.select("path", "block").distinct())  # a row for each block, however many lines it has
 
     rows = lines.join(touched, ["path", "block"]).unionByName(begins, allowMissingColumns=True)
     order = Window.partitionBy("path", "block").orderBy("at", F.col("mark").isNull()).rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("last", F.last("mark", True).over(order)).where("mark IS NULL").drop("mark")
+    rows = stored_once(rows.withColumn("last", F.last("mark", True).over(order)).where("mark IS NULL").drop("mark"), "record-lines")
     covered = F.coalesce(F.struct("block", "at") <= F.col("last.end"), F.lit(False))
     parts = F.sort_array(F.collect_list(F.struct("block", "at", "value")))
-    joined = rows.where(covered).groupBy("path", "name", F.col("last.start").alias("start")).agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
-    several = joined.select("value", "name", "path", "start.block", "start.at")
+    joined = rows.where(covered).groupBy("path", F.col("last.start").alias("start")).agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("value"))
+    several = joined.select("value", "path", "start.block", "start.at")
     single = rows.where(~covered & told).select(several.columns)
     rest = lines.join(touched, ["path", "block"], "left_anti").where(told).select(several.columns)
-    return rest.unionByName(single).unionByName(several)
+    records = rest.unionByName(single).unionByName(several).withColumnRenamed("path", "file")
+    return records.join(F.broadcast(numbers), "file").select("value", "name", "path", "block", "at")

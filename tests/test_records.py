@@ -137,3 +137,22 @@ def test_other_header_beside_quoted_line_ends(spark, tmp_path):
     (tmp_path / "orders_2025-01-01.csv/b.csv").write_text(",".join(reversed(HEADER.strip().split(","))) + "\n")
     with pytest.raises(IngestionError, match="header"):
         read_orders(spark, str(tmp_path), "2025-01-01", "now")
+
+
+def test_lines_move_once_and_by_number(spark, tmp_path, small_splits):
+    """No sort of whole lines in the look for open quotes, and no shuffle of lines in what reads the stored records."""
+    rows = made(random.Random(4), 120)
+    (tmp_path / "orders.csv").write_text(HEADER + "\n".join(r for _, _, r in rows) + "\n")
+    plan = str(records(stored_once(text_lines(spark, str(tmp_path)), "lines"), 7)._jdf.queryExecution().sparkPlan())
+    assert "Window" not in plan and "SortMergeJoin" not in plan
+
+
+def test_header_that_only_a_later_file_has(spark, tmp_path):
+    (tmp_path / "orders_2025-01-01.csv").mkdir()
+    for name in "abc":
+        (tmp_path / f"orders_2025-01-01.csv/{name}.csv").write_text(HEADER + f'O{name},"x\ny",{TAIL}\n' + HEADER)
+    path = str(tmp_path / "orders_2025-01-01.csv")
+    assert any_leaves_open(text_lines(spark, path))
+    (tmp_path / "orders_2025-01-01.csv/c.csv").write_text("a,b\n" + HEADER + f"O1,C,{TAIL}\n")
+    with pytest.raises(IngestionError, match=r"header: \['.*\.csv', '.*\.csv'\]"):
+        any_leaves_open(text_lines(spark, path))
