@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreflow.contracts import EXPORT_STATES, Contract
@@ -28,8 +28,18 @@ def judged(df: DataFrame, contract: Contract) -> DataFrame:
     values = F.struct(*[v.alias(VALUE + name) for name, v in contract.values(df).items()])
     # Expressions are not merged across a generator, here of one row: each is computed once.
     read = df.select("*", F.inline(F.array(values)))
-    errors = F.array_compact(F.array(*contract.errors(df, values_of(contract))))
-    return read.select("*", F.explode(F.array(errors)).alias(REASONS))
+    return read.select("*", F.explode(F.array(_said(contract, contract.errors(df, values_of(contract))))).alias(REASONS))
+
+
+def _said(contract: Contract, errors: list[Column]) -> Column:
+    """The errors that aren't null, as a list.
+
+    ``array_compact`` is a function with a lambda, so Spark doesn't compile it, nor anything it is made of. The difference
+    of arrays is compiled, but keeps one of equal messages.
+    """
+    if len(set(contract.messages)) < len(contract.messages):
+        return F.array_compact(F.array(*errors))
+    return F.array_except(F.array(*errors), F.array(F.lit(None).cast("string")))
 
 
 def values_of(contract: Contract) -> dict[str, Column]:
@@ -73,19 +83,20 @@ class Split:
 
 
 def split(df: DataFrame, contract: Contract, path: str, quarantined_at: str | None = None) -> Split:
-    """Judge the rows in one pass and one write to ``path``, which both sides are read from; the counts come with the write."""
-    messages = contract.messages
-    seen = Observation()
-    counts = [F.count_if(F.array_contains(REASONS, m)).alias(f"reason_{k}") for k, m in enumerate(messages)]
+    """Judge the rows in one pass and one write to ``path``, which both sides and the counts are read from.
+
+    The outcome is a column and no folder: rows written by folder are sorted first, and a task with many rows spills. Counts come
+    from the stored outcomes and reasons alone, a row for each list of reasons; observed metrics aren't compiled and cost more than the judging.
+    """
     rows = judged(df, contract).withColumn(GOOD, F.size(REASONS) == 0)
     rows = rows.drop(*[VALUE + f.name for f in contract.fields if f.kind not in ("long", "double")])
-    rows = rows.observe(seen, F.count("*").alias("rows"), F.count_if(~F.col(GOOD)).alias("refused"), *counts)
-    rows.write.mode("overwrite").partitionBy(GOOD).parquet(path)
+    rows.write.mode("overwrite").parquet(path)
     stored = df.sparkSession.read.schema(rows.schema).parquet(path)
-    found = seen.get
+    outcomes = stored.groupBy(REASONS).agg(F.count("*").alias("n")).collect()  # lists of reasons, however many rows
+    counts = {m: sum(r["n"] for r in outcomes if m in r[REASONS]) for m in contract.messages}
     sides = [stored.where(F.col(GOOD) == side).drop(GOOD) for side in (True, False)]
-    reasons = {m: found[f"reason_{k}"] for k, m in enumerate(messages) if found[f"reason_{k}"]}
-    return Split(_good(sides[0], contract), _bad(sides[1], quarantined_at), found["rows"], found["refused"], reasons)
+    total, refused = sum(r["n"] for r in outcomes), sum(r["n"] for r in outcomes if r[REASONS])
+    return Split(_good(sides[0], contract), _bad(sides[1], quarantined_at), total, refused, {m: n for m, n in counts.items() if n})
 
 
 def reason_counts(bad: DataFrame) -> DataFrame:

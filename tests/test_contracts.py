@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 
 from oreflow.contracts import CUSTOMERS, ORDERS, PRODUCTS
-from oreflow.operators.validate import bad_rows, good_rows
+from oreflow.operators.validate import bad_rows, good_rows, judged, split
 
 ORDER = dict(order_id="O1", customer_id="C1", product_id="P1", order_date="2025-01-01", quantity="2", unit_price="3.25", status="shipped")
 CUSTOMER = dict(
@@ -130,3 +130,28 @@ def test_amount_bounds(spark):
     rows = [ORDER | {"quantity": q, "unit_price": p} for q, p in (("10", "10"), ("11", "10"), ("1", None))]
     df = spark.createDataFrame(rows, schema).coalesce(1)
     assert [r.quantity for r in good_rows(df, bounded).collect()] == [10, 1]
+
+
+def test_split_counts_from_what_it_stored_without_a_sort(spark, tmp_path):
+    rows = [ORDER, ORDER | {"quantity": "0"}, ORDER | {"quantity": "0", "unit_price": "x"}, ORDER | {"order_id": None}]
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{c} string" for c in ORDER))
+    # A lambda would keep Spark from compiling all the errors are made of.
+    assert "lambda" not in judged(df, ORDERS)._jdf.queryExecution().optimizedPlan().toString()
+    found = split(df, ORDERS, str(tmp_path / "checked"), "now")
+    assert (found.rows, found.refused) == (4, 3)
+    assert found.reasons == {"order_id: missing": 1, "quantity: must be > 0": 2, "unit_price: not a number": 1}
+    assert (found.good.count(), found.bad.count()) == (1, 3)
+    # Folders by outcome would have had each task sort its rows.
+    assert not [f for f in (tmp_path / "checked").iterdir() if f.is_dir()]
+    none = split(df.limit(0), ORDERS, str(tmp_path / "none"))
+    assert (none.rows, none.refused, none.reasons, none.good.count(), none.bad.count()) == (0, 0, {}, 0, 0)
+
+
+def test_equal_messages_of_two_rules_are_both_told(spark):
+    from dataclasses import replace
+
+    from oreflow.contracts import RowRule
+
+    twice = replace(ORDERS, row_rules=tuple(RowRule("same", lambda v, n=n: v["quantity"] > n) for n in (5, 6)))
+    df = spark.createDataFrame([tuple(ORDER.values())], ", ".join(f"{c} string" for c in ORDER))
+    assert bad_rows(df, twice).first()._quarantine_reason == "same; same"
