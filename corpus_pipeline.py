@@ -114,8 +114,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pack(docs, TOKENIZER)
 
 
-# The third stage finds near copies by min-hash bands and an exact check: 64-bit SimHash marks of five-word shingles
-# differ in up to 14 bits at a similarity of 0.8, beyond what a trie join can tell from chance.
+# The third stage finds near copies by the trie join of SimHash marks and, as marks of five-word shingles differ in up to 14 bits
+# at a similarity of 0.8, beyond what a trie can tell from chance, by min-hash bands too; an exact check decides.
 STAGES = [
     ("toxicity", toxicity_stage),
     ("exact_dedup", exact_stage),

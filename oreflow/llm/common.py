@@ -66,6 +66,13 @@ def per_process(name: str, make: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
+def release() -> None:
+    """Drop what a Python worker keeps: for tasks that need memory of their own and nothing of what other operators keep."""
+    kept = sys.modules.get("oreflow_per_process")
+    for name in [k for k in vars(kept) if not k.startswith("__")] if kept else []:
+        delattr(kept, name)
+
+
 class Remembered(dict):
     """What a Python worker remembers of short texts: ``bound`` bytes at most, for keys of up to ``longest`` characters.
 

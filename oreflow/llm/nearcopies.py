@@ -1,12 +1,17 @@
-"""Near copies by the Jaccard similarity of their word shingles: min-hash bands, then an exact check.
+"""Near copies by the Jaccard similarity of their word shingles: SimHash and min-hash bands, then an exact check.
 
-Documents with the same set of shingles are one node. A node's sketch is one minimum for each of
+Documents with the same set of shingles are one node, and a node has a SimHash mark: 64 bits, each the majority among the
+hashes of its shingles. Nodes whose marks differ in at most ``MARK_BUDGET`` bits are candidates; the trie join of
+``simhash`` finds them. Marks of nodes at a similarity of 0.8 differ in more bits than any trie can tell from chance, so
+bands of minima find further candidates.
+
+A node's sketch is one minimum for each of
 ``BANDS * ROWS`` hash functions; nodes with all minima of a band in common share a bucket. At a
 similarity of 0.8 two nodes share none with a probability of 5 in 100,000, and the chance that so few
 bytes of their sketches agree that they don't look alike is 2 in 100,000.
 
-Only what connects is wanted, so no step makes pairs. Within a bucket a task links nodes that look alike, leaving out
-what is connected already: one link less than there are nodes at most. What these links connect over all buckets is
+Only what connects is wanted, so no step makes pairs. Within a bucket, as in a trie, a task links nodes that look alike, leaving out
+what is connected already: one link less than there are nodes at most. What these links connect over all tries and buckets is
 a family; each node's set of shingles goes to its family once, where pairs not yet connected are
 compared exactly. Links of similarity 0.8 or more, again a forest, give the groups.
 
@@ -26,13 +31,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import LOWER_BYTES, Store, broadcast_if_small, join_counted, row_key, same_row
-from oreflow.llm.simhash import SEED, components
+from oreflow.llm.common import LOWER_BYTES, Store, broadcast_if_small, join_counted, release, row_key, same_row
+from oreflow.llm.simhash import SEED, SUBTREE_ROWS, components, links as mark_links, majority
 
 SHINGLE_WORDS = 5
 #: Least similarity, as a fraction.
 LEAST = (4, 5)
 BANDS, ROWS = 25, 5
+#: Bits in which the SimHash marks of candidates may differ.
+MARK_BUDGET = 4
 #: Bytes of two sketches that agree in a candidate, of BANDS * ROWS; 100 are expected at 0.8.
 AGREEING = 82
 #: Shingles taken at once, and pairs of sketches compared at once.
@@ -70,18 +77,20 @@ def minima(own: np.ndarray) -> np.ndarray:
 
 def _sketches(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            nodes, sketches, bands = [], [], []
+            nodes, marks, sketches, bands = [], [], [], []
             for text in batch.column("content"):
                 own = shingles(text.as_py())
                 least = minima(own)
                 nodes.append(node(own))
+                marks.append(majority(own))
                 sketches.append((least >> np.uint64(16)).astype(np.uint8).tobytes())
                 bands.append(np.array([xxhash.xxh64_intdigest(least[k * ROWS : (k + 1) * ROWS].tobytes(), k) for k in range(BANDS)], dtype=np.uint64).view(np.int64))
-            columns = [batch.column("doc_id"), batch.column("row_key"), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "node", "sketch", "bands"])
+            columns = [batch.column("doc_id"), batch.column("row_key"), *[pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (nodes, marks)], pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "node", "mark", "sketch", "bands"])
 
-    return _contents(docs).mapInArrow(run, "doc_id long, row_key long, node long, sketch binary, bands array<long>")
+    return _contents(docs).mapInArrow(run, "doc_id long, row_key long, node long, mark long, sketch binary, bands array<long>")
 
 
 def _contents(docs: DataFrame) -> DataFrame:
@@ -216,7 +225,17 @@ def _sets(nodes: DataFrame, docs: DataFrame, families: DataFrame, store: Store)
     return store.put("sets", sets.join(families, "node"))
 
 
-def near_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, family_rows: int = FAMILY_ROWS) -> DataFrame:
+def marked_links(nodes: DataFrame, budget: int, store: Store, subtree_rows: int = SUBTREE_ROWS) -> DataFrame:
+    """Links a, b of nodes (node, mark; stored) that connect all whose marks differ in at most ``budget`` bits."""
+    one = store.put("marks", nodes.groupBy("mark").agg(F.min("node").alias("first")))
+    found = mark_links(one.select(F.col("mark").alias("fingerprint")), budget, subtree_rows, store)
+    ends = one.select(F.col("mark").alias("a"), F.col("first").alias("x")), one.select(F.col("mark").alias("b"), F.col("first").alias("y"))
+    other = found.join(ends[0], "a").join(ends[1], "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    same = nodes.join(one, "mark").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    return store.put("mark-links", other.unionByName(same))
+
+
+def near_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, family_rows: int = FAMILY_ROWS, budget: int = MARK_BUDGET) -> DataFrame:
     """A row for each document with the number of its group: what links of similarity 0.8 or more connect.
 
     A-Z are lower-cased, words end at spaces and \\t\\n\\v\\f\\r. A text of fewer than five words is one
@@ -227,14 +246,14 @@ def near_copies(docs: DataFrame, bucket_rows: int = BUCKET_ROWS, family_rows: in
     """
     store = Store(docs.sparkSession, "near-copies")
     marked = store.put("marked", _sketches(docs))
-    own = F.struct("row_key", "doc_id", "sketch", "bands")
+    own = F.struct("row_key", "doc_id", "mark", "sketch", "bands")
     nodes = store.put("nodes", marked.groupBy("node").agg(F.min_by(own, "row_key").alias("one"), F.count("*").alias("copies")).select("node", "copies", "one.*"))
     spread = store.put("spread", nodes.select("node", F.explode("bands").alias("group")))
     shared = spread.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
     members = spread.join(shared, "group", "left_semi").join(nodes.select("node", F.col("sketch").alias("payload")), "node")
     members = store.put("members", members)
     store.drop("spread")
-    alike = connected(members, alike_links, bucket_rows, store, "alike")
+    alike = connected(members, alike_links, bucket_rows, store, "alike").unionByName(marked_links(nodes.select("node", "mark"), budget, store))
     ends = components(alike, Store(docs.sparkSession, "near-copies-families"))
     families = ends.select(F.col("a").alias("node"), F.col("b").alias("group")).union(ends.select("b", "b").distinct())
     links = connected(_sets(nodes, docs, store.put("families", families), store), exact_links, family_rows, store, "exact")

@@ -57,6 +57,15 @@ def fingerprint(text: bytes, shingle_words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big")
 
 
+def majority(hashes: np.ndarray) -> int:
+    """64 bits, each set if most of the hashes have it; 0 for none."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), CHUNK):
+        part = hashes[at : at + CHUNK].astype(">u8")
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
+
+
 def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id, row_key and fingerprint (as a signed number) of each document."""
 

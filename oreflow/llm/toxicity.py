@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, row_key
+from oreflow.llm.common import Store, release, row_key
 
 TRAIN_DOCS = 8_000
 #: A labelled document longer than this isn't learned from.
@@ -183,6 +183,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
     """
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         texts, toxic = [], []
         for batch in batches:
             texts += batch.column("text").to_pylist()
@@ -231,6 +232,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
     text = "text" if "text" in columns else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         weights, bias = sent.value
         known = _Weights(weights)
         for batch in batches:

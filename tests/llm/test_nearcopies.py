@@ -6,7 +6,10 @@ import numpy as np
 import pytest
 from corpus_pipeline import near_stage
 
-from oreflow.llm.nearcopies import alike_links, exact_links, near_copies, shingles as hashes
+from oreflow.llm import nearcopies
+from oreflow.llm.common import Store
+from oreflow.llm.nearcopies import MARK_BUDGET, alike_links, exact_links, marked_links, near_copies, shingles as hashes
+from oreflow.llm.simhash import majority
 
 SCHEMA = "doc_id long, text string, node string, label string"
 
@@ -112,3 +115,26 @@ def test_a_large_group_half_of_it_just_below_the_threshold(spark):
     got = near_copies(spark.createDataFrame([(i, t, "n", "l") for i, t in rows], SCHEMA), 400, 200).collect()
     roots = {r.doc_id: r.root for r in got}
     assert len({roots[k] for k in range(1, 1500, 2)}) == 1 and len(set(roots.values())) == 751
+
+
+def test_marks_link_what_differs_in_few_bits(spark):
+    draw = random.Random(3)
+    marks = [draw.getrandbits(64) for _ in range(40)]
+    marks += [marks[k] ^ sum(1 << b for b in draw.sample(range(64), n)) for k, n in enumerate([0, 1, 2, 3, 4, 5, 6] * 3)]
+    rows = [(k, m - (1 << 64) if m >> 63 else m) for k, m in enumerate(marks)]
+    nodes = spark.createDataFrame(rows, "node long, mark long")
+    got = [(r.a, r.b) for r in marked_links(nodes, MARK_BUDGET, Store(spark, "test-marks"), 8).collect()]
+    want = [(x, y) for y in range(len(marks)) for x in range(y) if (marks[x] ^ marks[y]).bit_count() <= MARK_BUDGET]
+    assert parts(got, len(marks)) == parts(want, len(marks)) and len(want) >= 15
+
+
+def test_simhash_alone_finds_close_copies(spark, monkeypatch):
+    """Without any link from the bands: what differs in one word of 400 is found by its mark and passes the exact check."""
+    monkeypatch.setattr(nearcopies, "alike_links", lambda sketches, labels: iter(()))
+    draw, rows = random.Random(6), []
+    for k in range(30):
+        base = [f"w{draw.randrange(900)}" for _ in range(400)]
+        rows += [(k, " ".join(base)), (100 + k, " ".join([*base[:200], "changed", *base[201:]]))]
+    got = {r.doc_id: r.root for r in near_copies(spark.createDataFrame([(i, t, "n", "l") for i, t in rows], SCHEMA)).collect()}
+    near = [k for k in range(30) if (majority(hashes(rows[2 * k][1].encode())) ^ majority(hashes(rows[2 * k + 1][1].encode()))).bit_count() <= MARK_BUDGET]
+    assert len(near) > 20 and all(got[k] == got[100 + k] for k in near) and len({got[k] for k in range(30)}) == 30
