@@ -47,8 +47,8 @@ class _Chunks(Remembered):
     to the signs behind it, or either to a line end, so chunks are made of known parts where they can be.
     """
 
-    def __init__(self, tokenizer, lead: str, first: _Chunks | None = None):
-        super().__init__(REMEMBERED["first" if first is None else "rest"])
+    def __init__(self, tokenizer, lead: str, first: _Chunks | None = None, remembered: int | None = None):
+        super().__init__(remembered or REMEMBERED["first" if first is None else "rest"])
         self.lead, self.split, self.merge = lead, tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
         self.letters, self.first, self.signs = _byte_letters(), self if first is None else first, Remembered(REMEMBERED["signs"])
         self.line = self._merged(["\u010a"])
@@ -87,12 +87,12 @@ class _Chunks(Remembered):
 class Encoder:
     """Text to ids, as the tokenizer gives them without special tokens added."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.first = _Chunks(self.tokenizer, "")
-        self.rest = _Chunks(self.tokenizer, " ", self.first)
+        self.rest = _Chunks(self.tokenizer, " ", self.first, remembered)
 
     def __call__(self, text: str) -> bytes:
         if not text:
@@ -104,14 +104,14 @@ class Encoder:
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered: int | None = None) -> DataFrame:
     """doc_id, row_key, piece, start, length, ids_crc32: documents, ended by id 0, cut where longer than a sequence.
 
     All pieces of a cut document but the first are full.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = per_process(f"encoder:{tokenizer}", lambda: Encoder(tokenizer))
+        encode = per_process(f"encoder:{tokenizer}:{remembered}", lambda: Encoder(tokenizer, remembered))
         end = array("I", [END_ID]).tobytes()
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
@@ -199,16 +199,17 @@ def _numbered(rows: DataFrame, total: int) -> DataFrame:
     return salted.withColumn("nth", F.row_number().over(inside) - 1).join(first, ["length", "salt"]).withColumn("nth", F.col("nth") + F.col("first"))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered: int | None = None) -> DataFrame:
     """A row for each piece with its sequence and place there; sequences are gapless from 0 on.
 
     A null or empty text is the end id alone. Repeated rows are packed each for itself, a null id
-    like any other; other columns are ignored; an empty table gives no rows.
+    like any other; other columns are ignored; an empty table gives no rows. ``remembered``: bytes in which a Python
+    worker remembers what follows a space, where memory allows more or less than usual.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset.
     """
     store = Store(docs.sparkSession, "packing")
-    rows = store.put("pieces", pieces(docs, tokenizer, capacity))
+    rows = store.put("pieces", pieces(docs, tokenizer, capacity, remembered))
     counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}  # capacity rows at most
     places = _places(plan_sequences(counts, capacity))
 

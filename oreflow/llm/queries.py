@@ -91,7 +91,7 @@ def op2_decontamination(spark, sf_dir):
 
 @query()
 def op4_packing(spark, sf_dir):
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), remembered=320 << 20)
 
 
 @query(
