@@ -20,6 +20,8 @@ from oreflow.llm.packing import pack
 from oreflow.llm.toxicity import learn, score
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+#: Bytes in which a worker of the packing stage remembers encoded text: the JVM beside it holds what four stages left it.
+REMEMBERED = 64 << 20
 #: SQL can express neither the learned stage nor the tokenizer.
 ORACLE_SQL = None
 
@@ -111,7 +113,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     A null or empty text is the end id alone; repeated rows are packed each for itself; other columns go.
     """
-    return pack(docs, TOKENIZER)
+    return pack(docs, TOKENIZER, remembered=REMEMBERED)
 
 
 # The third stage finds near copies by the trie join of SimHash marks and, as marks of five-word shingles differ in up to 14 bits

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 from types import ModuleType
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,11 +69,20 @@ def per_process(name: str, make: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
-def release() -> None:
-    """Drop what a Python worker keeps: for tasks that need memory of their own and nothing of what other operators keep."""
+def release(but: str = "") -> None:
+    """Drop what a Python worker keeps, but for the one object named: for tasks that need memory of their own.
+
+    Workers serve one operator after the other, so what the last one freed goes back to the system too: Arrow and the C
+    library would keep it for a use of the same kind that may not come.
+    """
     kept = sys.modules.get("oreflow_per_process")
-    for name in [k for k in vars(kept) if not k.startswith("__")] if kept else []:
+    for name in [k for k in vars(kept) if not k.startswith("__") and k != but] if kept else []:
         delattr(kept, name)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
 
 
 class Remembered(dict):

@@ -171,6 +171,8 @@ def _walked(rows: DataFrame, keys: list[str], links: Callable) -> DataFrame:
                 held.append(batch.slice(x, y - x))
         if held:
             yield from found()
+            held = []
+            release()  # later stages need the memory
 
     return rows.select(*keys, "node", "label", "payload").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(walk, "a long, b long").distinct()
 

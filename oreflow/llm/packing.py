@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Remembered, Store, per_process, row_key
+from oreflow.llm.common import Remembered, Store, per_process, release, row_key
 
 CAPACITY = 2048
 END_ID = 0
@@ -111,7 +111,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = per_process(f"encoder:{tokenizer}:{remembered}", lambda: Encoder(tokenizer, remembered))
+        name = f"encoder:{tokenizer}:{remembered}"
+        release(but=name)
+        encode = per_process(name, lambda: Encoder(tokenizer, remembered))
         end = array("I", [END_ID]).tobytes()
         for batch in batches:
             at, piece, start, length, crc = [], [], [], [], []
@@ -214,6 +216,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered:
     places = _places(plan_sequences(counts, capacity))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         keys = places[:, 0] << 44 | places[:, 1]
         for batch in batches:
             length, nth = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "nth"))

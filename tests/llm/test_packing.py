@@ -12,6 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from oreflow.llm import packing
+from oreflow.llm.common import per_process, release
 from oreflow.llm.packing import Encoder, fullest, pack, plan_sequences
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -111,3 +112,19 @@ def test_pack(spark):
 @pytest.mark.parametrize("counts", [{}, {2048: 3}, {1: 5000}])
 def test_plain_plans(counts):
     assert sum(t for t, _ in plan_sequences(counts)) == -(-sum(k * n for k, n in counts.items()) // 2048)
+
+
+def test_release_drops_all_but_the_named_object():
+    mine, other = per_process("test-mine", list), per_process("test-other", list)
+    release(but="test-mine")
+    assert per_process("test-mine", list) is mine and per_process("test-other", list) is not other
+
+
+def test_packing_drops_what_other_operators_keep(spark, monkeypatch):
+    docs, steps = spark.createDataFrame([(1, "some words")], "doc_id long, text string"), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda rows, step, schema: steps.append(step))
+    packing.pieces(docs, PATH)
+    other = per_process("test-other", list)
+    encoder = per_process(f"encoder:{PATH}:None", lambda: Encoder(PATH))
+    assert list(steps[0](iter([]))) == []
+    assert per_process("test-other", list) is not other and per_process(f"encoder:{PATH}:None", list) is encoder
