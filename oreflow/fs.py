@@ -68,6 +68,11 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a file or folder another name, which must be free."""
+    _rename(spark, source, target, "NONE")
+
+
 def _draft(spark: SparkSession, path: str, text: str) -> str:
     draft = f"{path}.{uuid4().hex}.tmp"
     stream = _system(spark, draft).create(_path(spark, draft), True)

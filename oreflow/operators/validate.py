@@ -6,9 +6,10 @@ optimizer can't fold into the filters and columns that use them, so nothing is r
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from oreflow.contracts import EXPORT_STATES, Contract
@@ -28,18 +29,17 @@ def judged(df: DataFrame, contract: Contract) -> DataFrame:
     values = F.struct(*[v.alias(VALUE + name) for name, v in contract.values(df).items()])
     # Expressions are not merged across a generator, here of one row: each is computed once.
     read = df.select("*", F.inline(F.array(values)))
-    return read.select("*", F.explode(F.array(_said(contract, contract.errors(df, values_of(contract))))).alias(REASONS))
+    return read.select("*", F.explode(F.array(_said(contract.errors(df, values_of(contract))))).alias(REASONS))
 
 
-def _said(contract: Contract, errors: list[Column]) -> Column:
+def _said(errors: list[Column]) -> Column:
     """The errors that aren't null, as a list.
 
-    ``array_compact`` is a function with a lambda, so Spark doesn't compile it, nor anything it is made of. The difference
-    of arrays is compiled, but keeps one of equal messages.
+    ``array_compact`` is a function with a lambda, so Spark doesn't compile it, nor anything it is made of. Joined lists of one or
+    none are compiled, and need no set of what was met as the difference of arrays does.
     """
-    if len(set(contract.messages)) < len(contract.messages):
-        return F.array_compact(F.array(*errors))
-    return F.array_except(F.array(*errors), F.array(F.lit(None).cast("string")))
+    none = F.array().cast("array<string>")
+    return F.concat(*[F.when(e.isNull(), none).otherwise(F.array(e)) for e in errors])
 
 
 def values_of(contract: Contract) -> dict[str, Column]:
@@ -82,21 +82,38 @@ class Split:
     reasons: dict[str, int]
 
 
-def split(df: DataFrame, contract: Contract, path: str, quarantined_at: str | None = None) -> Split:
+def split(
+    df: DataFrame, contract: Contract, path: str | None = None, quarantined_at: str | None = None, store: Callable[[DataFrame], DataFrame | None] | None = None
+) -> Split:
     """Judge the rows in one pass and one write to ``path``, which both sides and the counts are read from.
 
     The outcome is a column and no folder: rows written by folder are sorted first, and a task with many rows spills. Counts come
     from the stored outcomes and reasons alone, a row for each list of reasons; observed metrics aren't compiled and cost more than the judging.
+
+    Rows that are stored already are not written a second time: with ``store``, which keeps the bad rows and returns them as stored, or None
+    if there are none, each side judges the rows for itself, which costs less than that write and its readers.
     """
+    if store is not None:
+        kept = store(bad_rows(df, contract, quarantined_at))
+        outcomes = [] if kept is None else _outcomes(kept)
+        return Split(good_rows(df, contract), bad_rows(df, contract, quarantined_at), df.count(), sum(r["n"] for r in outcomes), _listed(outcomes, contract))
     rows = judged(df, contract).withColumn(GOOD, F.size(REASONS) == 0)
     rows = rows.drop(*[VALUE + f.name for f in contract.fields if f.kind not in ("long", "double")])
     rows.write.mode("overwrite").parquet(path)
     stored = df.sparkSession.read.schema(rows.schema).parquet(path)
-    outcomes = stored.groupBy(REASONS).agg(F.count("*").alias("n")).collect()  # lists of reasons, however many rows
-    counts = {m: sum(r["n"] for r in outcomes if m in r[REASONS]) for m in contract.messages}
+    outcomes = _outcomes(stored)
     sides = [stored.where(F.col(GOOD) == side).drop(GOOD) for side in (True, False)]
     total, refused = sum(r["n"] for r in outcomes), sum(r["n"] for r in outcomes if r[REASONS])
-    return Split(_good(sides[0], contract), _bad(sides[1], quarantined_at), total, refused, {m: n for m, n in counts.items() if n})
+    return Split(_good(sides[0], contract), _bad(sides[1], quarantined_at), total, refused, _listed(outcomes, contract))
+
+
+def _outcomes(rows: DataFrame) -> list[Row]:
+    return rows.groupBy(REASONS).agg(F.count("*").alias("n")).collect()  # lists of reasons, however many rows
+
+
+def _listed(outcomes: list[Row], contract: Contract) -> dict[str, int]:
+    counts = {m: sum(r["n"] for r in outcomes if m in r[REASONS]) for m in contract.messages}
+    return {m: n for m, n in counts.items() if n}
 
 
 def reason_counts(bad: DataFrame) -> DataFrame:

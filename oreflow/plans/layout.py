@@ -55,11 +55,6 @@ class Layout:
     def bronze(self) -> str:
         return self.at("bronze", "data/bronze")
 
-    @property
-    def checked(self) -> str:
-        """Rows as judged in the run at hand; the next run replaces them."""
-        return self.at("checked", "data/checked")
-
     @property
     def silver(self) -> str:
         return self.at("silver", "data/silver")

@@ -107,14 +107,19 @@ class DailyRun:
     def _clean(self, bronze: DataFrame, contract: Contract, order: list[str], sink: Callable[[DataFrame], int]) -> Counts:
         """Bad rows to quarantine; of the good ones the last per key to silver.
 
-        Bronze is read and judged once; quarantine and silver come from what that stored.
+        Bronze is stored, so both sides are judged from it; the reasons are counted from the quarantine.
         """
-        found = split(bronze, contract, f"{self.layout.checked}/{contract.name}", self.at)
+        path = f"{self.layout.quarantine}/{contract.name}"
+
+        def quarantine(bad: DataFrame) -> DataFrame | None:
+            some = replace_day(bad, path, self.date, "run_date", keep_empty=False)
+            return self.spark.read.schema(bad.schema).parquet(f"{path}/run_date={self.date}") if some else None
+
+        found = split(bronze, contract, quarantined_at=self.at, store=quarantine)
         self.reasons[f"silver_{contract.name}"] = found.reasons
-        refused = replace_day(found.bad, f"{self.layout.quarantine}/{contract.name}", self.date, "run_date", keep_empty=False)
         good = contract.normalize(found.good) if self.layout.normalize else found.good
         written = sink(keep_last(good, contract.key, order))
-        return {"quarantined": refused, "deduped": found.rows - refused - written, "written": written}
+        return {"quarantined": found.refused, "deduped": found.rows - found.refused - written, "written": written}
 
     # gold
 

@@ -1,40 +1,35 @@
 """Replace day partitions of a Parquet table.
 
-Writes go through dynamic partition overwrite: tasks write to a staging folder and the days
-concerned are swapped at commit, so a failed job leaves the old rows. One case needs care: a
-day that has no rows left does not appear in the output and would keep its old rows, so it is
-emptied explicitly.
+One day is written to a folder beside the days that no reader sees, and put in the day's place when it is whole. Several
+days go through dynamic partition overwrite, which does the same. Either way a failed job leaves the old rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import functions as F
+from uuid import uuid4
 
-from oreflow import fs
-
-
-def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame with its row count taken along while it is written.
+from pyspark.sql import DataFrame
 
-    To be called on the frame a sink writes: in the last stage each task counts once, even when
-    lost executors make Spark run tasks again.
-    """
-    seen = Observation()
-    return df.observe(seen, F.count("*").alias("rows")), seen
+from oreflow import fs
 
 
 def replace_day(df: DataFrame, path: str, date: str, column: str = "date", keep_empty: bool = True) -> int:
     """Make ``df`` the whole content of one day; returns the rows written.
 
-    A day without rows gets a file with no rows, or none with ``keep_empty=False``.
+    A day without rows gets a file with no rows, or none with ``keep_empty=False``. Rows are written as they come and
+    counted from the footers: a partition column or an observed count would copy each row once more.
     """
-    rows, seen = counted(df)
-    _overwrite(rows.withColumn(column, F.lit(date)), path, column)
-    written = seen.get["rows"]
-    day = f"{path}/{column}={date}"
-    if written == 0 and (keep_empty or fs.exists(df.sparkSession, day)):
-        df.limit(0).write.mode("overwrite").parquet(day)
+    spark, day, draft = df.sparkSession, f"{path}/{column}={date}", f"{path}/_draft-{uuid4().hex}"
+    try:
+        df.drop(column).write.parquet(draft)
+        written = spark.read.parquet(draft).count()
+        there = fs.exists(spark, day)
+        if written or keep_empty or there:
+            if there:
+                fs.delete(spark, day)
+            fs.move(spark, draft, day)
+    finally:
+        fs.delete(spark, draft)
     return written
 
 

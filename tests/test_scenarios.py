@@ -56,6 +56,15 @@ def test_duplicates_collapse_and_last_wins(spark, project):
     assert stage(result, "silver_orders")["counts"] == {"quarantined": 0, "deduped": 1, "written": 1}
 
 
+def test_judged_rows_are_not_stored_besides_silver_and_quarantine(spark, project):
+    project.orders(DATE, [order(1), order(1, quantity="0"), order(2, quantity="0", price="x"), order(3), order(3)])
+    result = run_one_date(spark, project.layout, DATE)
+    assert stage(result, "silver_orders")["counts"] == {"quarantined": 2, "deduped": 1, "written": 2}
+    assert stage(result, "silver_orders")["reasons"] == {"quantity: must be > 0": 2, "unit_price: not a number": 1}
+    assert quarantined(spark, project).count() == 2
+    assert sorted(f.name for f in (project.root / "data").iterdir()) == ["bronze", "gold", "landing", "quarantine", "silver"]
+
+
 def test_later_bad_duplicate_does_not_replace_good_row(spark, project):
     project.orders(DATE, [order(1, quantity="2"), order(1, quantity="0")])
     run_one_date(spark, project.layout, DATE)

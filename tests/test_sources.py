@@ -7,6 +7,7 @@ import sqlite3
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from oreflow import fs
 from oreflow.contracts import ORDERS
@@ -153,6 +154,31 @@ def test_replace_day_and_days(spark, tmp_path):
     assert counts == {"2025-01-02": 4, "2025-01-04": 6}
 
 
+def test_replace_day_that_fails_leaves_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    replace_day(spark.range(3).withColumn("date", F.lit("x")), path, "2025-01-01")
+    with pytest.raises(Exception, match="no such row"):
+        replace_day(spark.range(5).select(F.when(F.col("id") < 4, F.col("id")).otherwise(F.raise_error(F.lit("no such row"))).alias("id")), path, "2025-01-01")
+    assert sorted(map(tuple, spark.read.schema("id long, date string").parquet(path).collect())) == [(n, "2025-01-01") for n in range(3)]
+    assert fs.folders(spark, path) == ["date=2025-01-01"]
+
+
+def test_replace_day_writes_no_partition_column(spark, tmp_path, monkeypatch):
+    """Rows go to the writer as they come: no metrics and no column of the day between."""
+    seen, write = [], DataFrame.write.fget
+    monkeypatch.setattr(DataFrame, "write", property(lambda df: seen.append(df) or write(df)))
+    replace_day(spark.range(3), str(tmp_path / "t"), "2025-01-01")
+    assert [df.columns for df in seen] == [["id"]]
+    assert "CollectMetrics" not in seen[0]._jdf.queryExecution().toString()
+
+
+def test_orders_csv_written_where_the_rows_are(spark, tmp_path):
+    rows = spark.range(0, 30, 1, 3).select(F.concat(F.lit("O"), "id").alias("order_id"), F.lit("2025-01-01").alias("day"))
+    write_orders_csv(rows, str(tmp_path / "o"), day="day", keep_day=False, gather=False)
+    assert len(list((tmp_path / "o" / "date=2025-01-01").glob("part-*.csv"))) == 3
+    assert spark.read.csv(str(tmp_path / "o"), header=True).select("order_id").distinct().count() == 30
+
+
 @pytest.fixture()
 def quarantine(spark, tmp_path):
     base = tmp_path / "q"
