@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from string import ascii_lowercase, ascii_uppercase
 from types import ModuleType
 
@@ -19,6 +19,10 @@ from oreflow.session import shared_folder
 #: Largest table, in estimated bytes, that is sent to every executor.
 BROADCAST_BYTES = 8 << 20
 
+#: Bytes of texts that a Python worker is handed at once; Spark's own limit is 64 MB, which a worker and the JVM beside it hold several times.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: A-Z to a-z on bytes, for Python workers.
 LOWER_BYTES = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -85,6 +89,23 @@ def release(but: str = "") -> None:
         trim(0)
 
 
+def alone(run: Callable[[Iterator], Iterator], but: str = "") -> Callable[[Iterator], Iterator]:
+    """The task with ``release`` before and after it, so an idle worker holds no more than the one object named."""
+
+    def whole(batches: Iterator) -> Iterator:
+        release(but)
+        yield from run(batches)
+        release(but)
+
+    return whole
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python workers in small batches. It holds for the session, as frames run later; a limit set there stays."""
+    if spark.conf.get(BATCH_LIMIT, None) is None:
+        spark.conf.set(BATCH_LIMIT, BATCH_BYTES)
+
+
 class Remembered(dict):
     """What a Python worker remembers of short texts: ``bound`` bytes at most, for keys of up to ``longest`` characters.
 

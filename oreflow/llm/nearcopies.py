@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import LOWER_BYTES, Store, broadcast_if_small, join_counted, release, row_key, same_row
+from oreflow.llm.common import LOWER_BYTES, Store, alone, broadcast_if_small, join_counted, row_key, same_row, small_batches
 from oreflow.llm.simhash import SEED, SUBTREE_ROWS, components, links as mark_links, majority
 
 SHINGLE_WORDS = 5
@@ -77,7 +77,6 @@ def minima(own: np.ndarray) -> np.ndarray:
 
 def _sketches(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         for batch in batches:
             nodes, marks, sketches, bands = [], [], [], []
             for text in batch.column("content"):
@@ -90,10 +89,11 @@ def _sketches(docs: DataFrame) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column("row_key"), *[pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (nodes, marks)], pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row_key", "node", "mark", "sketch", "bands"])
 
-    return _contents(docs).mapInArrow(run, "doc_id long, row_key long, node long, mark long, sketch binary, bands array<long>")
+    return _contents(docs).mapInArrow(alone(run), "doc_id long, row_key long, node long, mark long, sketch binary, bands array<long>")
 
 
 def _contents(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("row_key"), content)
 
@@ -171,10 +171,8 @@ def _walked(rows: DataFrame, keys: list[str], links: Callable) -> DataFrame:
                 held.append(batch.slice(x, y - x))
         if held:
             yield from found()
-            held = []
-            release()  # later stages need the memory
 
-    return rows.select(*keys, "node", "label", "payload").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(walk, "a long, b long").distinct()
+    return rows.select(*keys, "node", "label", "payload").repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(alone(walk), "a long, b long").distinct()
 
 
 def connected(rows: DataFrame, links: Callable, most: int, store: Store, name: str) -> DataFrame:
@@ -223,7 +221,7 @@ def _sets(nodes: DataFrame, docs: DataFrame, families: DataFrame, store: Store)
 
     wanted = store.put("wanted", nodes.join(families, "node", "left_semi").select("doc_id", "row_key"))
     texts, few = _contents(docs), broadcast_if_small(wanted, 32)
-    sets = texts.join(few, same_row(texts, few), "left_semi").mapInArrow(run, "node long, payload binary").dropDuplicates(["node"])
+    sets = texts.join(few, same_row(texts, few), "left_semi").mapInArrow(alone(run), "node long, payload binary").dropDuplicates(["node"])
     return store.put("sets", sets.join(families, "node"))
 
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Remembered, Store, per_process, release, row_key
+from oreflow.llm.common import Remembered, Store, alone, per_process, row_key, small_batches
 
 CAPACITY = 2048
 END_ID = 0
@@ -110,9 +110,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered
     All pieces of a cut document but the first are full.
     """
 
+    name = f"encoder:{tokenizer}:{remembered}"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = f"encoder:{tokenizer}:{remembered}"
-        release(but=name)
         encode = per_process(name, lambda: Encoder(tokenizer, remembered))
         end = array("I", [END_ID]).tobytes()
         for batch in batches:
@@ -133,8 +133,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered
                 names=["doc_id", "row_key", "piece", "start", "length", "ids_crc32"],
             )
 
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("row_key"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long")
+    return rows.mapInArrow(alone(run, but=name), "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long")
 
 
 def fullest(counts: dict[int, int], room: int) -> dict[int, int]:
@@ -216,7 +217,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered:
     places = _places(plan_sequences(counts, capacity))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         keys = places[:, 0] << 44 | places[:, 1]
         for batch in batches:
             length, nth = (batch.column(c).to_numpy().astype(np.int64) for c in ("length", "nth"))
@@ -226,4 +226,4 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, remembered:
             kept = [batch.column(c) for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(sequence), pa.array(offset)], names=["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return _numbered(rows, sum(counts.values())).mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return _numbered(rows, sum(counts.values())).mapInArrow(alone(place), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")

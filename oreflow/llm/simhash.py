@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import LOWER_BYTES, Store, row_key
+from oreflow.llm.common import LOWER_BYTES, Store, alone, row_key, small_batches
 
 SEED = 42
 SHINGLE_WORDS = 3
@@ -75,9 +75,10 @@ def fingerprints(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFra
             marks = pa.array(np.array(marks, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), marks], names=["doc_id", "row_key", "fingerprint"])
 
+    small_batches(docs.sparkSession)
     content = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("content")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("row_key"), content)
-    return rows.mapInArrow(run, "doc_id long, row_key long, fingerprint long")
+    return rows.mapInArrow(alone(run), "doc_id long, row_key long, fingerprint long")
 
 
 def linked_pairs(values: np.ndarray, depth: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -222,7 +223,7 @@ def links(nodes: DataFrame, budget: int, subtree_rows: int, store: Store) -> Dat
             yield found(np.concatenate(held))
 
     dealt = _subtrees(nodes, budget, subtree_rows, store).repartition("trie", "prefix").sortWithinPartitions("trie", "prefix")
-    return dealt.mapInArrow(walk, "a long, b long").distinct()
+    return dealt.mapInArrow(alone(walk), "a long, b long").distinct()
 
 
 def components(pairs: DataFrame, store: Store) -> DataFrame:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from oreflow.llm.common import Store, release, row_key
+from oreflow.llm.common import Store, alone, row_key, small_batches
 
 TRAIN_DOCS = 8_000
 #: A labelled document longer than this isn't learned from.
@@ -183,7 +183,6 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
     """
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         texts, toxic = [], []
         for batch in batches:
             texts += batch.column("text").to_pylist()
@@ -191,6 +190,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
         weights, bias = train(texts, np.array(toxic, dtype=np.float64))
         yield pa.RecordBatch.from_arrays([pa.array([weights.tobytes()], pa.binary()), pa.array([bias])], names=["weights", "bias"])
 
+    small_batches(docs.sparkSession)
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     text = F.coalesce("text", F.lit(""))
     key = row_key(F.col("doc_id"), F.col("text")).alias("row_key")
@@ -199,7 +199,7 @@ def learn(docs: DataFrame, labels: DataFrame, rows: Column, train_docs: int = TR
     ids = Store(docs.sparkSession, "toxicity").put("sample", chosen)
     # At most train_docs rows, a fixed number.
     sample = docs.select("doc_id", key, text.alias("text")).join(F.broadcast(ids), ["doc_id", "row_key"]).dropDuplicates(["doc_id", "row_key"])
-    model = sample.select("text", "toxic").repartition(1).mapInArrow(fit, "weights binary, bias double").first()
+    model = sample.select("text", "toxic").repartition(1).mapInArrow(alone(fit), "weights binary, bias double").first()
     if model is None:
         return np.zeros(1 << FEATURE_BITS, dtype=np.float32), NEVER
     return np.frombuffer(bytes(model["weights"]), dtype=np.float32), model["bias"]
@@ -232,7 +232,6 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
     text = "text" if "text" in columns else "__text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release()
         weights, bias = sent.value
         known = _Weights(weights)
         for batch in batches:
@@ -245,12 +244,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], columns: list[str],
                 arrays.append(pa.array([document_score(t, known, bias) for t in texts], pa.float64()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*columns, name, *[c.split()[0] for c in LOCATED if locate]])
 
+    small_batches(docs.sparkSession)
     named = [F.col(f"`{c}`") for c in columns]
     inputs = docs.select(*named) if text in columns else docs.select(*named, F.col("text").alias(text))
     schema = docs.select(*named).schema.add(name, "double")
     for column in LOCATED if locate else ():
         schema = schema.add(*column.split())
-    return inputs.mapInArrow(run, schema)
+    return inputs.mapInArrow(alone(run), schema)
 
 
 def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], least: float = 0.5) -> DataFrame:
@@ -270,7 +270,8 @@ def offending_sentences(docs: DataFrame, model: tuple[np.ndarray, float], least:
             types = (pa.int64(), pa.int32(), pa.string(), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "sentence", "words", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, sentence int, words string, score double")
+    small_batches(docs.sparkSession)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(alone(run), "doc_id long, sentence int, words string, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held: Column, train_docs: int = TRAIN_DOCS) -> DataFrame:
